@@ -38,8 +38,77 @@ def label_hits(labels: Column, patterns: tuple[str, ...]) -> Column:
     )
 
 
-def keyword_hits(text: Column, keywords: tuple[str, ...]) -> Column:
-    return _count([F.contains(text, F.lit(k)) for k in keywords])
+def keyword_codes(title: Column, combined: Column, rules: RuleSet) -> Column:
+    """Found keywords as an array of codes, in rule order.
+
+    The code is twice the number of the keyword, plus one when the title has it. Every keyword is
+    searched once; counts and reasons are read off the codes.
+    """
+    found = []
+    for number, keyword in enumerate(_all_keywords(rules)):
+        found.append(
+            F.when(F.contains(title, F.lit(keyword)), F.lit(2 * number + 1)).when(
+                F.contains(combined, F.lit(keyword)), F.lit(2 * number)
+            )
+        )
+    return F.array_compact(F.array(*found))
+
+
+def _all_keywords(rules: RuleSet) -> list[str]:
+    return [keyword for typed in rules.types.values() for keyword in typed.keywords]
+
+
+def _all_patterns(rules: RuleSet) -> list[tuple[str, str]]:
+    return [(name, p) for name, typed in rules.types.items() for p in typed.commit_patterns]
+
+
+def _ranges(sizes: dict[str, int]) -> dict[str, tuple[int, int]]:
+    """First and one-past-last number of each type."""
+    ranges, start = {}, 0
+    for name, size in sizes.items():
+        ranges[name] = (start, start + size)
+        start += size
+    return ranges
+
+
+def keyword_counts(codes: Column, rules: RuleSet) -> dict[str, tuple[Column, Column]]:
+    """Per type: keywords found in the title, keywords found anywhere."""
+    ranges = _ranges({name: len(typed.keywords) for name, typed in rules.types.items()})
+
+    def of_range(first: int, last: int) -> tuple[Column, Column]:
+        def within(code: Column) -> Column:
+            return (code >= 2 * first) & (code < 2 * last)
+
+        return (
+            F.size(F.filter(codes, lambda code: within(code) & (code % 2 == 1))),
+            F.size(F.filter(codes, within)),
+        )
+
+    return {name: of_range(*limits) for name, limits in ranges.items()}
+
+
+def commit_codes(messages: Column, rules: RuleSet) -> Column:
+    """Numbers of the patterns found in lower-cased messages, message by message."""
+    patterns = _all_patterns(rules)
+
+    def of_message(message: Column) -> Column:
+        return F.array_compact(
+            F.array(
+                *[F.when(X.search(message, p), F.lit(i)) for i, (_, p) in enumerate(patterns)]
+            )
+        )
+
+    return F.flatten(F.transform(messages, of_message))
+
+
+def commit_counts(codes: Column, rules: RuleSet) -> dict[str, Column]:
+    """Pattern hits per type."""
+    ranges = _ranges({name: len(typed.commit_patterns) for name, typed in rules.types.items()})
+
+    def of_range(first: int, last: int) -> Column:
+        return F.size(F.filter(codes, lambda code: (code >= first) & (code < last)))
+
+    return {name: of_range(*limits) for name, limits in ranges.items()}
 
 
 def commit_hits(message: Column, patterns: tuple[str, ...]) -> Column:
@@ -56,10 +125,6 @@ def commit_profile_flags(message: Column) -> dict[str, Column]:
     }
 
 
-def commit_hits_of_all(messages: Column, patterns: tuple[str, ...]) -> Column:
-    return _fold(messages, lambda message: commit_hits(message, patterns))
-
-
 def profile_count(messages: Column, word_list: str) -> Column:
     """Number of lower-cased messages that touch a profile word list."""
     return F.size(F.filter(messages, lambda message: commit_profile_flags(message)[word_list]))
@@ -99,37 +164,25 @@ def label_reasons(labels: Column, rules: RuleSet) -> Column:
     return F.concat(*[of_type(name, typed.labels) for name, typed in rules.types.items()])
 
 
-def keyword_reasons(title: Column, combined: Column, rules: RuleSet) -> Column:
-    found = []
-    for typed in rules.types.values():
-        for keyword in typed.keywords:
-            found.append(
-                F.when(
-                    F.contains(title, F.lit(keyword)),
-                    F.lit(R.REASON_KEYWORD.format(keyword=keyword, place="title")),
-                ).when(
-                    F.contains(combined, F.lit(keyword)),
-                    F.lit(R.REASON_KEYWORD.format(keyword=keyword, place="body")),
-                )
-            )
-    return F.array_compact(F.array(*found))
+def _texts_of(codes: Column, texts: list[str]) -> Column:
+    lookup = F.array(*map(F.lit, texts))
+    return F.transform(codes, lambda code: F.element_at(lookup, code + 1))
 
 
-def commit_reasons(messages: Column, rules: RuleSet) -> Column:
-    def of_message(message: Column) -> Column:
-        return F.array_compact(
-            F.array(
-                *[
-                    F.when(
-                        X.search(message, p), F.lit(R.REASON_COMMIT.format(pattern=p, type=name))
-                    )
-                    for name, typed in rules.types.items()
-                    for p in typed.commit_patterns
-                ]
-            )
-        )
+def keyword_reasons(codes: Column, rules: RuleSet) -> Column:
+    texts = [
+        R.REASON_KEYWORD.format(keyword=keyword, place=place)
+        for keyword in _all_keywords(rules)
+        for place in ("body", "title")
+    ]
+    return _texts_of(codes, texts)
 
-    return F.flatten(F.transform(messages, of_message))
+
+def commit_reasons(codes: Column, rules: RuleSet) -> Column:
+    texts = [
+        R.REASON_COMMIT.format(pattern=p, type=name) for name, p in _all_patterns(rules)
+    ]
+    return _texts_of(codes, texts)
 
 
 def basic_type(title: Column, body: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mergelens.functions import rules as R
 from mergelens.functions import scoring as S
 from mergelens.functions import text as X
+from mergelens.functions.arrays import each
 from mergelens.functions.rules import DEFAULT_RULES, RuleSet
 from mergelens.operators.children import DEFAULT_CAP, DEFAULT_KEY, cap_commits, last_commits
 from mergelens.operators.normalize import POSITION
@@ -69,14 +70,21 @@ def _own_text(prs: DataFrame, rules: RuleSet) -> DataFrame:
         }
     ).withColumn("_combined", F.concat_ws(" ", "_title", "_body"))
     title, body, combined = F.col("_title"), F.col("_body"), F.col("_combined")
+    found = lowered.withColumns(
+        {
+            "_keywords": S.keyword_codes(title, combined, rules),
+            **{
+                f"_{name}": flag.cast("int")
+                for name, flag in S.metadata_flags(title, body, combined).items()
+            },
+        }
+    ).drop("_title", "_body", "_combined")
     hits: dict[str, Column] = {}
-    for name, typed in rules.types.items():
-        hits[f"_label_{name}"] = S.label_hits(F.col("_labels"), typed.labels)
-        hits[f"_title_{name}"] = S.keyword_hits(title, typed.keywords)
-        hits[f"_any_{name}"] = S.keyword_hits(combined, typed.keywords)
-    for name, flag in S.metadata_flags(title, body, combined).items():
-        hits[f"_{name}"] = flag.cast("int")
-    return lowered.withColumns(hits)
+    for name, (in_title, anywhere) in S.keyword_counts(F.col("_keywords"), rules).items():
+        hits[f"_label_{name}"] = S.label_hits(F.col("_labels"), rules.types[name].labels)
+        hits[f"_title_{name}"] = in_title
+        hits[f"_any_{name}"] = anywhere
+    return found.withColumns(hits)
 
 
 def _profile_bonus() -> dict[str, list[tuple[Column, int, str]]]:
@@ -144,7 +152,7 @@ def score_pull_requests(
 
     ``similarity`` has the key columns and one cosine column ``similarity_*`` per type.
     """
-    own = _own_text(prs, rules).drop("title", "body", "_title", "_body", "_combined", "_labels")
+    own = _own_text(prs, rules).drop("title", "body", "_labels", "_keywords")
     names = list(rules.types)
     filled = [f"commit_{n}" for n in names] + [f"{p}_commits" for p in _PROFILE]
     filled.append("total_commits")
@@ -212,9 +220,10 @@ def classify_nested(
         S.lowered(F.col("commit_messages")) if analyze_commits else F.array().cast("array<string>")
     )
     own = own.withColumn("_messages", messages)
+    own = own.withColumn("_patterns", S.commit_codes(F.col("_messages"), rules))
     counts: dict[str, Column] = {
-        f"commit_{name}": S.commit_hits_of_all(F.col("_messages"), typed.commit_patterns)
-        for name, typed in rules.types.items()
+        f"commit_{name}": count
+        for name, count in S.commit_counts(F.col("_patterns"), rules).items()
     }
     for word_list in _PROFILE:
         counts[f"{word_list}_commits"] = S.profile_count(F.col("_messages"), word_list)
@@ -238,8 +247,8 @@ def classify_nested(
     tail.append(F.when(F.col("change_type_confidence") < threshold, F.lit(R.REASON_DEFAULT)))
     reasons = F.concat(
         S.label_reasons(F.col("_labels"), rules),
-        S.keyword_reasons(F.col("_title"), F.col("_combined"), rules),
-        S.commit_reasons(F.col("_messages"), rules),
+        S.keyword_reasons(F.col("_keywords"), rules),
+        S.commit_reasons(F.col("_patterns"), rules),
         F.array_compact(F.array(*tail)),
     )
     return decided.withColumn("change_type_reasons", reasons).select(
@@ -292,13 +301,12 @@ def count_rule_hits(
             for name, typed in rules.types.items()
             for p in patterns(typed)
         ]
-        return rows.select(
-            F.explode(F.array_compact(F.array(*found))).alias("_hit"), weight.alias("_weight")
-        ).select("_hit.*", "_weight")
+        hits = F.array_compact(F.array(*found))
+        return each(rows, [weight.alias("_weight")], hits, "_hit").select("_hit.*", "_weight")
 
     one = F.lit(1).cast("bigint")
     names = (
-        prs.select(F.explode(S.lowered(F.col("labels"))).alias("_name"))
+        each(prs, [], S.lowered(F.col("labels")), "_name")
         .groupBy("_name")
         .agg(F.count(F.lit(1)).alias("_n"))
     )

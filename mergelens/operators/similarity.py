@@ -13,6 +13,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mergelens.functions.arrays import each
 from mergelens.functions.stemming import stem_words
 
 # Training sentences, prototypes and size of the change-type vocabulary.
@@ -66,9 +67,15 @@ def ngrams(words: Column, lengths: tuple[int, int] = NGRAMS) -> Column:
     def of_length(n: int) -> Column:
         if n == 1:
             return words
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        joined = F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(n))))
-        return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+        count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+        joined = F.slice(words, F.lit(1), count)
+        for shift in range(1, n):
+            joined = F.zip_with(
+                joined,
+                F.slice(words, F.lit(shift + 1), count),
+                lambda left, right: F.concat_ws(" ", left, right),
+            )
+        return joined
 
     low, high = lengths
     return F.concat(*[of_length(n) for n in range(low, high + 1)])
@@ -94,17 +101,14 @@ def fit_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFr
     Every term of a row is sent once with a zero and once per distinct term with a one, so corpus
     and document frequency come out of one pre-aggregated shuffle.
     """
-    marked = terms.select(
-        F.explode(
-            F.concat(
-                F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
-                F.transform(
-                    F.array_distinct("terms"),
-                    lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")),
-                ),
-            )
-        ).alias("_t")
+    marks = F.concat(
+        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
+        F.transform(
+            F.array_distinct("terms"),
+            lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")),
+        ),
     )
+    marked = each(terms, [], marks, "_t")
     counted = marked.groupBy(F.col("_t.term").alias("term")).agg(
         F.sum(1 - F.col("_t.first")).alias("tf"), F.sum("_t.first").alias("df")
     )
@@ -122,11 +126,12 @@ def fit_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFr
 
 def _term_counts(terms: DataFrame, vocabulary: DataFrame, key: Sequence[str]) -> DataFrame:
     """Count of every vocabulary term per key; a key without any keeps one row of nulls."""
-    exploded = terms.select(*key, F.explode_outer("terms").alias("term"))
-    # The vocabulary has at most max_features rows.
+    exploded = terms.select(*key, F.posexplode_outer("terms").alias("_pos", "term"))
+    # The vocabulary has at most max_features rows. Of the unknown terms only the first one of a
+    # row is kept, so that its key stays.
     known = exploded.join(
         F.broadcast(vocabulary.withColumn("_known", F.col("term"))), "term", "left"
-    )
+    ).filter(F.col("_known").isNotNull() | (F.coalesce(F.col("_pos"), F.lit(0)) == 0))
     others = [c for c in vocabulary.columns if c != "term"]
     return known.groupBy(*key, F.col("_known").alias("term"), *others).agg(
         F.count("_known").alias("tf")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergelens.functions import text as X
+from mergelens.functions.arrays import each
 from mergelens.schemas import CSV_COLUMNS
 
 MEASURES = (
@@ -180,7 +181,7 @@ def statistics(nested: DataFrame) -> DataFrame:
         ),
     )
     summed = (
-        flat.select(F.explode(rows).alias("_r"))
+        each(flat, [], rows, "_r")
         .groupBy("_r.metric", "_r.key")
         .agg(F.sum("_r.amount").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     )
@@ -200,9 +201,11 @@ def statistics(nested: DataFrame) -> DataFrame:
         F.col("author").alias("key"),
         F.col("count").cast("double").alias("value"),
     )
-    return summed.select("metric", F.explode(values).alias("_v")).select(
-        "metric", "_v.key", "_v.value"
-    ).unionByName(authors)
+    return (
+        each(summed, ["metric"], values, "_v")
+        .select("metric", "_v.key", "_v.value")
+        .unionByName(authors)
+    )
 
 
 def with_presence(nested: DataFrame, presence: str = "nonempty") -> DataFrame:

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mergelens.functions.arrays import each
 from mergelens.functions.text import pull_request_id, truncate_patch
 
 # Fixed values of the fixtures.
@@ -73,6 +74,12 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for heavy per-row work: fewer files than cores are spread over the cores."""
+        table = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+
     def _rows(self, name: str) -> Column:
         return self.table(name).agg(F.count(F.lit(1))).scalar()
 
@@ -157,7 +164,8 @@ class Fixtures:
         )
         if not body:
             return prs
-        texts = self.table("documents").select("doc_id", "text")
+        # Texts are the large side at scale: always a shuffled join.
+        texts = self.table("documents").select("doc_id", "text").hint("merge")
         return (
             prs.withColumn("_doc", F.col("pr_number") % self._rows("documents"))
             .join(texts, F.col("_doc") == F.col("doc_id"), "left")
@@ -217,7 +225,7 @@ class Fixtures:
         text = F.col("text")
         if patch_limit is not None:
             text = truncate_patch(text, patch_limit)
-        texts = self.table("documents").select("doc_id", text.alias("patch"))
+        texts = self.table("documents").select("doc_id", text.alias("patch")).hint("merge")
         document = F.when(
             F.col("l_linenumber") != 7, F.col("l_partkey") % self._rows("documents")
         )
@@ -260,14 +268,8 @@ class Fixtures:
                 ]
             )
         )
-        rows = self.pull_requests(body=False).select(
-            F.explode(held).alias("_s"),
-            "id",
-            "repository_name",
-            "repository_full_name",
-            "pr_number",
-            "author",
-        )
+        columns = ["id", "repository_name", "repository_full_name", "pr_number", "author"]
+        rows = each(self.pull_requests(body=False), columns, held, "_s")
         snap = F.col("_s.snap")
         return rows.select(
             snap.alias("snap"),

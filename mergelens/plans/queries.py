@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mergelens.config import ExtractionConfig
 from mergelens.functions import text as X
+from mergelens.functions.arrays import each, each_at, each_entry
 from mergelens.operators import apply as A
 from mergelens.operators import children as C
 from mergelens.operators import classify, select, similarity, snapshots, stats
@@ -277,7 +278,7 @@ def comments_capped(fx: Fixtures) -> DataFrame:
 @query
 def commit_map(fx: Fixtures) -> DataFrame:
     nested = C.nest_commits(fx.commits, PR)
-    return nested.select("pr_number", F.explode("commits").alias("sha", "_c")).select(
+    return each_entry(nested, ["pr_number"], F.col("commits"), "sha", "_c").select(
         "pr_number", "sha", "_c.*"
     )
 
@@ -285,7 +286,7 @@ def commit_map(fx: Fixtures) -> DataFrame:
 @query
 def comment_array(fx: Fixtures) -> DataFrame:
     nested = C.nest_comments(fx.comments, PR)
-    return nested.select("pr_number", F.posexplode("pr_comments").alias("pos", "_c")).select(
+    return each_at(nested, ["pr_number"], F.col("pr_comments"), "pos", "_c").select(
         "pr_number", "pos", "_c.id", "_c.body", "_c.author", "_c.date", "_c.type",
         F.col("_c.position").alias("position"),
     )
@@ -294,7 +295,7 @@ def comment_array(fx: Fixtures) -> DataFrame:
 @query
 def file_array(fx: Fixtures) -> DataFrame:
     nested = C.nest_files(fx.files(patch_limit=X.PATCH_LIMIT), PR)
-    return nested.select("pr_number", F.posexplode("files").alias("pos", "_f")).select(
+    return each_at(nested, ["pr_number"], F.col("files"), "pos", "_f").select(
         "pr_number", "pos", "_f.filename", "_f.status", "_f.additions", "_f.deletions",
         "_f.changes",
         F.length("_f.patch").alias("patch_length"),
@@ -368,7 +369,7 @@ def change_reasons(fx: Fixtures) -> DataFrame:
         fx.pull_requests().join(messages, "pr_number", "left"), commit_profile=True
     )
     return (
-        nested.select("id", F.explode("change_type_reasons").alias("reason"))
+        each(nested, ["id"], F.col("change_type_reasons"), "reason")
         .groupBy("id", "reason")
         .agg(F.count(F.lit(1)).alias("times"))
     )
@@ -425,8 +426,8 @@ def tokens(fx: Fixtures) -> DataFrame:
     """Words of every document without stop words, counted."""
     words = similarity.tokens(F.col("text"), STOP_WORDS)
     return (
-        fx.table("documents")
-        .select(F.explode(words).alias("token"))
+        fx.spread("documents", "doc_id")
+        .transform(each, [], words, "token")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -443,7 +444,7 @@ def tokens_stemmed(fx: Fixtures) -> DataFrame:
 @query
 def tfidf(fx: Fixtures) -> DataFrame:
     terms = similarity.with_terms(
-        fx.table("documents").select("doc_id", "text"), "text", STOP_WORDS
+        fx.spread("documents", "doc_id").select("doc_id", "text"), "text", STOP_WORDS
     )
     vocabulary = similarity.fit_vocabulary(terms, MAX_TERMS)
     return similarity.tfidf_weights(terms, vocabulary, ["doc_id"]).select(
@@ -455,7 +456,7 @@ def tfidf(fx: Fixtures) -> DataFrame:
 def document_similarity(fx: Fixtures) -> DataFrame:
     """Cosine of every document with the three prototypes."""
     scored = similarity.text_similarity(
-        fx.table("documents").select("doc_id", "text"), ["doc_id"], stop_words=STOP_WORDS
+        fx.spread("documents", "doc_id").select("doc_id", "text"), ["doc_id"], stop_words=STOP_WORDS
     )
     return scored.select(
         "doc_id",
@@ -748,7 +749,7 @@ def scan_quarantine(fx: Fixtures) -> DataFrame:
 def decode_contents(fx: Fixtures) -> DataFrame:
     """Every third document comes with an unknown encoding and decodes to nothing."""
     content = F.base64(F.encode("text", "UTF-8"))
-    contents = fx.table("documents").select(
+    contents = fx.spread("documents", "doc_id").select(
         "doc_id",
         content.alias("content"),
         F.when(F.col("doc_id") % 3 == 0, F.lit("none")).otherwise(F.lit("base64")).alias(
