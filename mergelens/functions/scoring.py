@@ -87,6 +87,31 @@ def keyword_counts(codes: Column, rules: RuleSet) -> dict[str, tuple[Column, Col
     return {name: of_range(*limits) for name, limits in ranges.items()}
 
 
+def label_codes(label: Column, rules: RuleSet) -> Column:
+    """Numbers of the label patterns contained in one lower-cased label."""
+    patterns = [p for typed in rules.types.values() for p in typed.labels]
+    return F.array_compact(
+        F.array(*[F.when(F.contains(label, F.lit(p)), F.lit(i)) for i, p in enumerate(patterns)])
+    )
+
+
+def code_table(rules: RuleSet) -> list[tuple[str, int, str, str, int]]:
+    """(source, code, change type, pattern, points) of every code of this module."""
+    rows = []
+    numbers = dict.fromkeys(("label", "keyword", "commit"), 0)
+    for rule in rules.flat():
+        number = numbers[rule.source]
+        numbers[rule.source] += 1
+        name, pattern = rule.change_type, rule.pattern
+        if rule.source == "keyword":
+            rows.append(("keyword", 2 * number, name, pattern, R.BODY_KEYWORD_POINTS))
+            rows.append(("keyword", 2 * number + 1, name, pattern, R.TITLE_KEYWORD_POINTS))
+        else:
+            points = R.LABEL_POINTS if rule.source == "label" else R.COMMIT_POINTS
+            rows.append((rule.source, number, name, pattern, points))
+    return rows
+
+
 def commit_codes(messages: Column, rules: RuleSet) -> Column:
     """Numbers of the patterns found in lower-cased messages, message by message."""
     patterns = _all_patterns(rules)

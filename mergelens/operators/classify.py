@@ -150,9 +150,10 @@ def score_pull_requests(
 ) -> DataFrame:
     """Add ``points_*``, ``change_type``, ``change_type_confidence`` and ``reason_count``.
 
+    The body is dropped as soon as its points are known, so long texts are never joined.
     ``similarity`` has the key columns and one cosine column ``similarity_*`` per type.
     """
-    own = _own_text(prs, rules).drop("title", "body", "_labels", "_keywords")
+    own = _own_text(prs, rules).drop("body", "_labels", "_keywords")
     names = list(rules.types)
     filled = [f"commit_{n}" for n in names] + [f"{p}_commits" for p in _PROFILE]
     filled.append("total_commits")
@@ -166,7 +167,7 @@ def score_pull_requests(
     points = _points(rules, commit_profile)
     scored = own.withColumns({f"points_{name}": value for name, value in points.items()})
     return _decided(scored, rules, threshold, commit_profile, similarity is not None).select(
-        *[c for c in prs.columns if c not in ("title", "body", "labels")],
+        *[c for c in prs.columns if c not in ("body", "labels")],
         *[f"points_{name}" for name in names],
         "change_type",
         "change_type_confidence",
@@ -280,75 +281,45 @@ def count_rule_hits(
 ) -> DataFrame:
     """Hits and points of every rule that matched anything.
 
-    Label names are counted before they are matched; titles, bodies and messages are matched in
-    place, and only the (rule, points) pairs of hits are aggregated.
+    Texts are matched in place; only numbers of matched rules are sent and counted, and label
+    names are counted before they are matched. Rules are attached to the few counts at the end.
     """
-
-    def hit(name: str, source: str, pattern: str, matched: Column, points: Column) -> Column:
-        return F.when(
-            matched,
-            F.struct(
-                F.lit(name).alias("change_type"),
-                F.lit(source).alias("source"),
-                F.lit(pattern).alias("pattern"),
-                points.alias("points"),
-            ),
-        )
-
-    def hits_of(rows: DataFrame, source: str, patterns, match, points, weight: Column):
-        found = [
-            hit(name, source, p, match(p), points(p))
-            for name, typed in rules.types.items()
-            for p in patterns(typed)
-        ]
-        hits = F.array_compact(F.array(*found))
-        return each(rows, [weight.alias("_weight")], hits, "_hit").select("_hit.*", "_weight")
-
-    one = F.lit(1).cast("bigint")
     names = (
         each(prs, [], S.lowered(F.col("labels")), "_name")
         .groupBy("_name")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    labels = hits_of(
-        names,
-        "label",
-        lambda typed: typed.labels,
-        lambda p: F.contains(F.col("_name"), F.lit(p)),
-        lambda p: F.lit(R.LABEL_POINTS),
-        F.col("_n"),
-    )
     texts = prs.select(
         X.lower_or_empty(F.col("title")).alias("_title"),
         X.lower_or_empty(F.col("body")).alias("_body"),
     ).select("_title", F.concat_ws(" ", "_title", "_body").alias("_combined"))
-    keywords = hits_of(
-        texts,
-        "keyword",
-        lambda typed: typed.keywords,
-        lambda p: F.contains(F.col("_combined"), F.lit(p)),
-        lambda p: F.when(
-            F.contains(F.col("_title"), F.lit(p)), F.lit(R.TITLE_KEYWORD_POINTS)
-        ).otherwise(F.lit(R.BODY_KEYWORD_POINTS)),
-        one,
-    )
     messages = last_commits(
         cap_commits(commits.select(*key, POSITION, "sha", "message"), key, cap), key
-    ).select(F.lower(F.col("message")).alias("_text"))
-    patterns = hits_of(
-        messages,
-        "commit",
-        lambda typed: typed.commit_patterns,
-        lambda p: X.search(F.col("_text"), p),
-        lambda p: F.lit(R.COMMIT_POINTS),
-        one,
+    )
+    one = F.lit(1).cast("bigint").alias("_n")
+    codes = {
+        "label": each(names, ["_n"], S.label_codes(F.col("_name"), rules), "code"),
+        "keyword": each(
+            texts, [one], S.keyword_codes(F.col("_title"), F.col("_combined"), rules), "code"
+        ),
+        "commit": each(
+            messages, [one], S.commit_codes(F.array(F.lower("message")), rules), "code"
+        ),
+    }
+    parts = [df.withColumn("source", F.lit(source)) for source, df in codes.items()]
+    counted = (
+        parts[0].unionByName(parts[1]).unionByName(parts[2])
+        .groupBy("source", "code")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    table = prs.sparkSession.createDataFrame(
+        S.code_table(rules),
+        "source string, code int, change_type string, pattern string, weight int",
     )
     return (
-        labels.unionByName(keywords)
-        .unionByName(patterns)
+        counted.join(table, ["source", "code"])
         .groupBy("change_type", "source", "pattern")
         .agg(
-            F.sum("_weight").alias("hits"),
-            F.sum(F.col("points") * F.col("_weight")).alias("points"),
+            F.sum("_n").alias("hits"), F.sum(F.col("_n") * F.col("weight")).alias("points")
         )
     )

@@ -63,7 +63,7 @@ def tokens(
 
 
 def ngrams(words: Column, lengths: tuple[int, int] = NGRAMS) -> Column:
-    """All n-grams of the given lengths, joined by a space."""
+    """All n-grams of the given lengths, joined by a space; those with a null word are null."""
     def of_length(n: int) -> Column:
         if n == 1:
             return words
@@ -73,7 +73,7 @@ def ngrams(words: Column, lengths: tuple[int, int] = NGRAMS) -> Column:
             joined = F.zip_with(
                 joined,
                 F.slice(words, F.lit(shift + 1), count),
-                lambda left, right: F.concat_ws(" ", left, right),
+                lambda left, right: F.concat(left, F.lit(" "), right),
             )
         return joined
 
@@ -87,12 +87,25 @@ def with_terms(
     stop_words: Sequence[str] = (),
     lengths: tuple[int, int] = NGRAMS,
     stem: bool = False,
+    known: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Replace the text by its array of terms (``terms``)."""
+    """Replace the text by its array of terms (``terms``).
+
+    With ``known`` terms all others are left out; their words are blanked before n-grams are made.
+    """
     words = docs.withColumn(
         "_words", tokens(F.col(text), stop_words, stem=stem, min_length=2)
     ).drop(text)
-    return words.withColumn("terms", ngrams(F.col("_words"), lengths)).drop("_words")
+    if known is None:
+        return words.withColumn("terms", ngrams(F.col("_words"), lengths)).drop("_words")
+    parts = sorted({word for term in known for word in term.split(" ")})
+    blanked = F.transform("_words", lambda w: F.when(w.isin(parts), w))
+    terms = F.filter(
+        ngrams(F.col("_blanked"), lengths), lambda t: t.isNotNull() & t.isin(list(known))
+    )
+    return words.withColumn("_blanked", blanked).withColumn("terms", terms).drop(
+        "_words", "_blanked"
+    )
 
 
 def fit_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -201,7 +214,9 @@ def text_similarity(
     models = with_terms(
         spark.createDataFrame(list(fixed.items()), "name string, text string"), "text", stops
     )
-    scored = with_terms(docs.select(*key, text), text, stops, stem=stem)
+    # At most max_features terms.
+    known = [row["term"] for row in vocabulary.select("term").collect()]
+    scored = with_terms(docs.select(*key, text), text, stops, stem=stem, known=known)
     return cosine_to_prototypes(scored, vocabulary, models, key)
 
 

@@ -1,7 +1,8 @@
 """Counts, distributions, totals and reports over pull-request records.
 
-Two inputs are used: nested records, and the flat form with one row per pull request and the
-measure columns ``commits_count`` ... ``changes``. Everything pre-aggregates before its shuffle.
+Most functions take the flat form: one row per pull request with the measure columns
+``commits_count`` ... ``changes``, from nested records (``with_measures``) or straight from the
+child tables (``join_measures``). Everything pre-aggregates before its shuffle.
 """
 
 from __future__ import annotations
@@ -27,28 +28,29 @@ def count_of(items: Column) -> Column:
     return F.coalesce(F.size(F.when(items.isNotNull(), items)), F.lit(0)).cast("bigint")
 
 
-def _sum_of(files: Column, name: str) -> Column:
-    return F.coalesce(
-        F.aggregate(
-            files,
-            F.lit(0).cast("bigint"),
-            lambda acc, file: acc + F.coalesce(file[name], F.lit(0)),
-        ),
-        F.lit(0),
+def _sum_of(amounts: Column) -> Column:
+    """Sum of an array of numbers, 0 for null."""
+    total = F.aggregate(
+        amounts,
+        F.lit(0).cast("bigint"),
+        lambda acc, amount: acc + F.coalesce(amount, F.lit(0)),
     )
+    return F.coalesce(total, F.lit(0))
 
 
 def with_measures(nested: DataFrame) -> DataFrame:
-    """Replace the nested components by their counts and line sums."""
-    files = F.col("files")
+    """Replace the nested components by their counts and line sums.
+
+    Only single fields of the components are touched, so a columnar scan skips the long texts.
+    """
     return nested.withColumns(
         {
-            "commits_count": count_of(F.col("commits")),
-            "comments_count": count_of(F.col("pr_comments")),
-            "files_count": count_of(files),
-            "additions": _sum_of(files, "additions"),
-            "deletions": _sum_of(files, "deletions"),
-            "changes": _sum_of(files, "changes"),
+            "commits_count": count_of(F.map_keys("commits")),
+            "comments_count": count_of(F.col("pr_comments.id")),
+            "files_count": count_of(F.col("files.filename")),
+            "additions": _sum_of(F.col("files.additions")),
+            "deletions": _sum_of(F.col("files.deletions")),
+            "changes": _sum_of(F.col("files.changes")),
         }
     ).drop("commits", "pr_comments", "files")
 
@@ -61,21 +63,15 @@ def join_measures(prs: DataFrame, counts: Sequence[DataFrame], key: Sequence[str
     return result.fillna(0, subset=list(MEASURES))
 
 
-def flatten(nested: DataFrame) -> DataFrame:
-    """The 24 CSV columns."""
-    return (
-        with_measures(nested)
-        .withColumns(
-            {
-                "repository_language": X.join_with("|", F.col("repository_language")),
-                "tags": X.join_with("|", F.col("tags")),
-                "description": X.cut(
-                    F.col("description"), X.DESCRIPTION_LIMIT, X.DESCRIPTION_SUFFIX
-                ),
-            }
-        )
-        .select(*CSV_COLUMNS)
-    )
+def flatten(flat: DataFrame) -> DataFrame:
+    """The 24 CSV columns of records with measures."""
+    return flat.withColumns(
+        {
+            "repository_language": X.join_with("|", F.col("repository_language")),
+            "tags": X.join_with("|", F.col("tags")),
+            "description": X.cut(F.col("description"), X.DESCRIPTION_LIMIT, X.DESCRIPTION_SUFFIX),
+        }
+    ).select(*CSV_COLUMNS)
 
 
 def count_by(df: DataFrame, column: str, count: str = "count") -> DataFrame:
@@ -147,19 +143,12 @@ def change_type_confidence(df: DataFrame) -> DataFrame:
     )
 
 
-def statistics(nested: DataFrame) -> DataFrame:
-    """All statistics of a save as rows of (metric, key, value).
+def statistics(flat: DataFrame) -> DataFrame:
+    """All statistics of a save (records with measures) as rows of (metric, key, value).
 
     Every record gives one (metric, key, amount) row per value it counts under; these are summed
     in one pre-aggregated pass. Only the top authors need a second, single-column pass.
     """
-    flat = with_measures(
-        nested.select(
-            "repository_name", "repository_language", "change_type", "commits", "pr_comments",
-            "files",
-        )
-    )
-
     def row(metric: str, key: Column, amount: Column) -> Column:
         return F.struct(
             F.lit(metric).alias("metric"), key.alias("key"), amount.cast("bigint").alias("amount")
@@ -196,7 +185,7 @@ def statistics(nested: DataFrame) -> DataFrame:
             ),
         ),
     ).otherwise(F.array(F.struct(F.col("key"), total.alias("value"))))
-    authors = top_authors(nested.select("author")).select(
+    authors = top_authors(flat.select("author")).select(
         F.lit("top_authors").alias("metric"),
         F.col("author").alias("key"),
         F.col("count").cast("double").alias("value"),

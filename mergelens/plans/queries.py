@@ -73,6 +73,20 @@ def _listed(fx: Fixtures) -> DataFrame:
     return join_repositories(fx.pull_requests(body=False), fx.repositories)
 
 
+def _flat(fx: Fixtures) -> DataFrame:
+    """Classified records with measures, built from the child tables without nesting them."""
+    body = F.coalesce("body", F.lit(""))
+    prs = fx.pull_requests().withColumns(
+        {
+            "description": X.cut(body, X.DESCRIPTION_LIMIT, X.DESCRIPTION_SUFFIX),
+            "tags": X.tags(F.col("labels"), F.col("draft"), F.col("mergeable_state")),
+        }
+    )
+    scored = classify.score_pull_requests(prs, fx.commits, PR)
+    counts = C.count_children(fx.commits, fx.comments, fx.files(patch=False), PR)
+    return stats.join_measures(join_repositories(scored, fx.repositories), counts, PR)
+
+
 def _scored(fx: Fixtures) -> DataFrame:
     return classify.score_pull_requests(fx.pull_requests(), fx.commits, PR)
 
@@ -336,7 +350,7 @@ def assemble_pr(fx: Fixtures) -> DataFrame:
 
 @query
 def flatten_csv(fx: Fixtures) -> DataFrame:
-    return stats.flatten(_nested(fx))
+    return stats.flatten(_flat(fx))
 
 
 @query
@@ -522,7 +536,7 @@ def averages(fx: Fixtures) -> DataFrame:
 
 @query
 def statistics(fx: Fixtures) -> DataFrame:
-    return stats.statistics(_nested(fx))
+    return stats.statistics(_flat(fx))
 
 
 @query
@@ -705,7 +719,7 @@ def sink_json(fx: Fixtures) -> DataFrame:
 def sink_csv(fx: Fixtures) -> DataFrame:
     """The flat form written as CSV and read back."""
     target = new_dir(fx.spark, "csv")
-    flat = stats.flatten(_nested(fx))
+    flat = stats.flatten(_flat(fx))
     writers.write_csv(flat, target)
     back = (
         fx.spark.read.schema(flat.schema)
