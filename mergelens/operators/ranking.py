@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,12 +46,15 @@ def row_positions(
     The split is checkpointed so that counts and rows always see the same ranges.
     """
     keys = list(keys)
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_group_rows:
+    sizes = df.groupBy(*keys).count().agg(
+        F.max("count").alias("largest"), F.sum("count").alias("total")
+    ).first()
+    if (sizes["largest"] or 0) <= max_group_rows:
         return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
+    ranges = math.ceil(sizes["total"] / max_group_rows)
     ranged = cut_lineage(
-        df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn(
+        df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order).withColumn(
             "_range", F.spark_partition_id()
         )
     )

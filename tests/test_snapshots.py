@@ -1,0 +1,163 @@
+"""Newest record, state, refresh plan and merge."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from mergelens.operators import snapshots as S
+from mergelens.operators import stats
+from tests.conftest import rows
+
+PARTS = (
+    "repository_name string, id string, mtime int, commits map<string,string>, "
+    "pr_comments array<int>, files array<int>, title string, change_type string"
+)
+
+
+def _parts(spark, data):
+    return spark.createDataFrame(data, PARTS)
+
+
+def test_merge_takes_new_components_unless_empty(spark):
+    old = _parts(spark, [("r", "1", 1, {"a": "x"}, [1], [1], "old", "fix")])
+    new = _parts(spark, [("r", "1", 2, {}, [2], None, "new", "doc"),
+                         ("r", "2", 2, {"b": "y"}, [], [], "n", "doc")])
+    merged = rows(S.merge_snapshots(old, new, kept={"change_type": "value"}))
+    assert merged == [
+        ("r", "1", 2, {"a": "x"}, [2], [1], "new", "fix"),
+        ("r", "2", 2, {"b": "y"}, [], [], "n", "doc"),
+    ]
+
+
+def test_unrefreshed_rows_stay(spark):
+    old = _parts(spark, [("r", "1", 1, {"a": "x"}, [1], [1], "old", "fix")])
+    assert rows(S.merge_snapshots(old, old.limit(0))) == rows(old)
+
+
+def test_merge_is_idempotent(spark):
+    old = _parts(spark, [("r", str(i), 1, {"a": "x"} if i % 2 else {}, [i], [], "t", None)
+                         for i in range(6)])
+    assert rows(S.merge_snapshots(old, old)) == rows(old)
+
+
+_row = st.tuples(
+    st.sampled_from("123"), st.booleans(), st.booleans(), st.sampled_from([None, "fix", "doc"])
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(_row, max_size=3, unique_by=lambda r: r[0]), min_size=1, max_size=3))
+def test_history_equals_pairwise_merges(spark, files):
+    frames = [
+        _parts(spark, [("r", key, time, {"k": str(time)} if commits else {}, [time] if comments
+                        else [], [], f"t{time}", kind) for key, commits, comments, kind in file])
+        for time, file in enumerate(files)
+    ]
+    pairwise, union = frames[0], frames[0]
+    for frame in frames[1:]:
+        pairwise = S.merge_snapshots(pairwise, frame, kept={"change_type": "value"})
+        union = union.unionByName(frame)
+    history = S.merge_history(union, F.col("mtime"), kept=("change_type",))
+    assert rows(history) == rows(pairwise)
+
+
+def test_merge_records_reuses_the_earlier_type(spark):
+    schema = (
+        "repository_name string, id string, change_type string, change_type_confidence double, "
+        "change_type_reasons array<string>, tags array<string>, commits map<string,string>, "
+        "pr_comments array<int>, files array<int>"
+    )
+    old = spark.createDataFrame(
+        [("r", "1", "fix", None, None, ["t"], {}, [], []),
+         ("r", "2", "", 0.9, ["old"], [], {}, [], [])], schema)
+    new = spark.createDataFrame(
+        [("r", "1", "doc", 1.2, ["n"], ["u"], {}, [], []),
+         ("r", "2", "doc", 1.2, ["n"], ["u"], {}, [], [])], schema)
+    merged = {r.id: r for r in S.merge_records(old, new).collect()}
+    assert merged["1"].change_type == "fix"
+    assert merged["1"].change_type_confidence == 0.5
+    assert merged["1"].change_type_reasons == ["Reused from cached data"]
+    assert merged["1"].tags == ["t"]
+    assert (merged["2"].change_type, merged["2"].change_type_confidence) == ("doc", 1.2)
+    assert (merged["2"].change_type_reasons, merged["2"].tags) == (["n"], ["u"])
+
+
+def test_newest_record_wins_within_and_across_files(spark):
+    df = spark.createDataFrame(
+        [("r", "1", 1, "a", 0, "old"), ("r", "1", 2, "b", 5, "later"), ("r", "1", 2, "b", 1, "win"),
+         (None, "1", 3, "c", 0, "no key"), ("r", None, 3, "c", 0, "no key")],
+        "repository_name string, id string, mtime int, file string, pos int, v string",
+    )
+    assert [r.v for r in S.latest_records(df).collect()] == ["win"]
+
+
+def test_presence_by_key_and_by_content(spark):
+    df = _parts(spark, [("r", "1", 1, {}, None, [1], "t", None)])
+    flags = ["has_commits", "has_comments", "has_files"]
+    assert rows(stats.with_presence(df, "key"), *flags) == [(True, False, True)]
+    assert rows(stats.with_presence(df, "nonempty"), *flags) == [(False, False, True)]
+
+
+STATE = (
+    "repository_name string, id string, has_commits boolean, has_comments boolean, "
+    "has_files boolean, timestamp string"
+)
+
+
+@pytest.fixture(scope="module")
+def state(spark):
+    return spark.createDataFrame(
+        [("r", "1", True, True, True, "t1"), ("r", "2", True, False, None, "t1")], STATE
+    )
+
+
+@pytest.fixture(scope="module")
+def prs(spark):
+    return spark.createDataFrame([("r", "1"), ("r", "2"), ("r", "3")],
+                                 "repository_name string, id string")
+
+
+def test_refresh_respects_requested_components(state, prs):
+    every = S.needs_refresh(prs, state)
+    assert rows(every, "id", "need_commits", "need_comments", "need_files") == [
+        ("2", False, True, True), ("3", True, True, True)]
+    only_commits = S.needs_refresh(prs, state, include=(True, False, False))
+    assert [r.id for r in only_commits.collect()] == ["3"]
+    assert rows(S.new_only(prs, state), "id") == [("3",)]
+    assert rows(S.refresh_plan(prs, state)) == [(1, 1, 0, 1, 1)]
+
+
+def test_state_update_only_gains_flags(spark, state):
+    saved = spark.createDataFrame([("r", "1", False, False, False, "t2"),
+                                   ("r", "2", False, True, False, "t2"),
+                                   ("r", "9", False, False, True, "t2")], STATE)
+    updated = S.update_state(state, saved)
+    assert rows(updated) == [
+        ("r", "1", True, True, True, "t2"),
+        ("r", "2", True, True, False, "t2"),
+        ("r", "9", False, False, True, "t2"),
+    ]
+    assert rows(S.update_state(updated, saved)) == rows(updated)
+
+
+def test_batches(spark):
+    df = spark.range(7).select(F.lit("r").alias("repository_name"), "id")
+    batched = S.assign_batches(df, 3, [F.col("id").asc()])
+    assert rows(batched, "id", "batch", "batches") == [(i, i // 3 + 1, 3) for i in range(7)]
+    name = S.batch_name(F.col("repository_name"), F.col("batch"), F.col("batches"))
+    assert batched.select(name).distinct().count() == 3
+
+
+def test_compaction_splits_by_repository(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("r", "1", 1, "a", 0), ("r", "1", 2, "b", 0), ("s", "1", 1, "a", 0)],
+        "repository_name string, id string, mtime int, file string, pos int",
+    )
+    S.compact(df, str(tmp_path / "v1"))
+    back = spark.read.parquet(str(tmp_path / "v1"))
+    assert rows(back, "repository_name", "mtime") == [("r", 2), ("s", 1)]
+    assert sorted(p.name for p in (tmp_path / "v1").iterdir() if p.is_dir()) == [
+        "repository_name=r", "repository_name=s"]
