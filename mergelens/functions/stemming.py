@@ -144,7 +144,6 @@ def stem_words(words: Column) -> Column:
         _step_4,
         _final_e,
         _final_ll,
-        lambda w: F.regexp_replace(w, "^Y", "y"),
     ]
 
     def unless_short(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -152,4 +151,4 @@ def stem_words(words: Column) -> Column:
 
     for step in steps:
         words = F.transform(words, unless_short(step))
-    return words
+    return F.transform(words, lambda w: F.regexp_replace(w, "^Y", "y"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 RepositoryFunction = Callable[..., Any]
 
@@ -27,8 +29,8 @@ def apply_per_repository(
     ``error``. Calls are independent, so rows are spread over tasks, never grouped; set
     ``partitions`` when few rows carry long calls.
     """
-    fields = [part.strip().split()[0] for part in schema.split(",")]
-    columns = [key, *fields, "error"]
+    output = f"{key} string, {schema}, error string"
+    arrow = to_arrow_schema(StructType.fromDDL(output))
 
     def results(row: dict[str, Any]) -> Iterable[dict[str, Any]]:
         try:
@@ -39,13 +41,13 @@ def apply_per_repository(
             return []
         return [{key: row[key], **item} for item in (value if isinstance(value, list) else [value])]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [out for row in batch.to_dict("records") for out in results(row)]
-            yield pd.DataFrame(rows, columns=columns)
+            rows = [out for row in batch.to_pylist() for out in results(row)]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     spread = repositories.repartition(partitions) if partitions else repositories
-    return spread.mapInPandas(run, f"{key} string, {schema}, error string")
+    return spread.mapInArrow(run, output)
 
 
 def split_errors(applied: DataFrame) -> tuple[DataFrame, DataFrame]:
