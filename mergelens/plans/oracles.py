@@ -446,7 +446,7 @@ SELECT pr_number, filename, status, additions, deletions, changes,
 FROM fx_file""",
     "norm_pull_request": """
 SELECT p.id, p.pr_number, p.title, p.pr_state, p.created_at, p.updated_at, p.merged_at, p.author,
-  p.draft, length(p.body) AS body_length, coalesce(l.labels, '') AS labels
+  p.draft, p.pr_number * 31 % 97 AS popularity, length(p.body) AS body_length, coalesce(l.labels, '') AS labels
 FROM fx_pr p LEFT JOIN (SELECT pr_number, string_agg(name, '|' ORDER BY pos) AS labels
   FROM fx_label GROUP BY pr_number) l ON p.pr_number = l.pr_number""",
     "reject_split": """
@@ -625,6 +625,12 @@ SELECT count(*) AS total_prs, false AS is_incremental_save, true AS is_final_sav
   count(*) FILTER (WHERE need_comments) AS comments, count(*) FILTER (WHERE need_files) AS files,
   'microsoft' AS organization, 10 AS top_n_repositories, 100000 AS max_prs_per_repo,
   300 AS batch_size FROM fx_needs""",
+    "extraction_run": "SELECT repository_name, change_type, count(*) AS prs, " + ", ".join(
+        f"CAST(sum({m}) AS BIGINT) AS {m}" for m in _MEASURES
+    ) + f""" FROM nested WHERE pr_state = 'closed' AND repo_key IN (
+  SELECT repo_key FROM fx_repo WHERE NOT is_fork AND NOT is_archived
+  ORDER BY stars DESC, full_name LIMIT {Q.EXTRACTED_REPOSITORIES})
+GROUP BY repository_name, change_type""",
     "scan_envelope": _STORED,
     "sink_json": _STORED,
     "sink_csv": """

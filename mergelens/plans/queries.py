@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from mergelens.operators import children as C
 from mergelens.operators import classify, select, similarity, snapshots, stats
 from mergelens.operators.assemble import assemble, join_repositories
 from mergelens.operators.normalize import POSITION, reject_summary
+from mergelens.plans import extraction, landing
 from mergelens.plans.fixtures import PR, Fixtures
 from mergelens.session import new_dir
 from mergelens.sources import envelopes, pages, writers
@@ -40,6 +42,7 @@ STOP_WORDS = (
     "or", "that", "the", "this", "to", "was", "with",
 )
 MAX_TERMS = 1000
+EXTRACTED_REPOSITORIES = 10
 
 
 def query(function: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -95,13 +98,6 @@ def _latest(fx: Fixtures) -> DataFrame:
     return snapshots.latest_records(fx.snapshots)
 
 
-def _as_page(df: DataFrame, keys: list[str], item: Column) -> DataFrame:
-    """One landed response per row: its items as JSON text."""
-    return df.select(
-        *keys, F.lit(1).alias("page"), F.to_json(F.array(item)).alias("body")
-    )
-
-
 # Repositories
 
 
@@ -133,13 +129,7 @@ def repo_language_filter(fx: Fixtures) -> DataFrame:
 
 @query
 def repo_languages(fx: Fixtures) -> DataFrame:
-    sizes = F.map_from_entries(
-        F.transform("languages", lambda name: F.struct(name, F.length(name).cast("bigint")))
-    )
-    landed = fx.repositories.select(
-        F.col("full_name").alias("repository_full_name"), F.to_json(sizes).alias("body")
-    )
-    return pages.languages_from_pages(landed).select(
+    return pages.languages_from_pages(landing.language_pages(fx)).select(
         F.col("full_name").alias("repository_full_name"),
         X.join_with("|", F.array_sort("languages")).alias("languages"),
     )
@@ -147,27 +137,7 @@ def repo_languages(fx: Fixtures) -> DataFrame:
 
 @query
 def norm_repo(fx: Fixtures) -> DataFrame:
-    pulls = F.concat(F.lit("https://example.org/repos/"), "full_name", F.lit("/pulls{/number}"))
-    item = F.struct(
-        "name",
-        "full_name",
-        F.col("url").alias("html_url"),
-        F.concat("url", F.lit("/languages")).alias("languages_url"),
-        F.col("stars").alias("stargazers_count"),
-        F.col("forks").alias("forks_count"),
-        "description",
-        F.col("size_kb").alias("size"),
-        F.col("is_fork").alias("fork"),
-        F.col("is_archived").alias("archived"),
-        "created_at",
-        "updated_at",
-        pulls.alias("pulls_url"),
-    )
-    landed = fx.repositories.select(
-        F.lit(1).alias("page"),
-        F.to_json(F.struct(F.array(item).alias("items"))).alias("body"),
-    )
-    return pages.repositories_from_pages(landed).drop("languages")
+    return pages.repositories_from_pages(landing.repository_pages(fx)).drop("languages")
 
 
 # Children and pull requests from landed pages
@@ -175,35 +145,20 @@ def norm_repo(fx: Fixtures) -> DataFrame:
 
 @query
 def norm_commit(fx: Fixtures) -> DataFrame:
-    author = F.struct(F.col("author").alias("name"), "date")
-    item = F.struct("sha", F.struct("message", author.alias("author")).alias("commit"))
-    landed = _as_page(fx.commits, ["pr_number"], item)
+    landed = landing.commit_pages(fx.commits, PR)
     return pages.commits_from_pages(landed, PR).drop(POSITION)
 
 
 @query
 def norm_comment(fx: Fixtures) -> DataFrame:
-    user = F.when(F.col("author").isNotNull(), F.struct(F.col("author").alias("login")))
-    item = F.struct(
-        F.col("id").cast("bigint").alias("id"),
-        "body",
-        user.alias("user"),
-        F.col("date").alias("created_at"),
-        "position",
-    )
-    by_type = {
-        kind: _as_page(fx.comments.filter(F.col("type") == kind), ["pr_number"], item)
-        for kind in ("issue", "review")
-    }
-    return pages.comments_from_pages(by_type["issue"], by_type["review"], PR).drop(POSITION)
+    issue = landing.comment_pages(fx.comments, "issue", PR)
+    review = landing.comment_pages(fx.comments, "review", PR)
+    return pages.comments_from_pages(issue, review, PR).drop(POSITION)
 
 
 @query
 def norm_file(fx: Fixtures) -> DataFrame:
-    # to_json leaves null fields out, so a null patch arrives as an absent one.
-    item = F.struct("filename", "status", "additions", "deletions", "changes", "patch")
-    landed = _as_page(fx.files(), ["pr_number"], item)
-    return pages.files_from_pages(landed, PR).select(
+    return pages.files_from_pages(landing.file_pages(fx.files(), PR), PR).select(
         "pr_number", "filename", "status", "additions", "deletions", "changes",
         F.length("patch").alias("patch_length"),
         F.md5("patch").alias("patch_md5"),
@@ -212,23 +167,9 @@ def norm_file(fx: Fixtures) -> DataFrame:
 
 @query
 def norm_pull_request(fx: Fixtures) -> DataFrame:
-    item = F.struct(
-        F.col("pr_number").alias("number"),
-        "title",
-        "body",
-        F.col("pr_state").alias("state"),
-        "created_at",
-        "updated_at",
-        "merged_at",
-        F.struct(F.col("author").alias("login")).alias("user"),
-        "draft",
-        "mergeable_state",
-        F.transform("labels", lambda name: F.struct(name.alias("name"))).alias("labels"),
-    )
-    landed = _as_page(fx.pull_requests(), ["repository_full_name"], item)
-    return pages.pull_requests_from_pages(landed).select(
+    return pages.pull_requests_from_pages(landing.pull_request_pages(fx)).select(
         "id", "pr_number", "title", "pr_state", "created_at", "updated_at", "merged_at",
-        "author", "draft",
+        "author", "draft", "popularity",
         F.length("body").alias("body_length"),
         X.join_with("|", F.col("labels")).alias("labels"),
     )
@@ -687,6 +628,28 @@ def batch_metadata(fx: Fixtures) -> DataFrame:
     )
 
 
+# The whole job
+
+
+@query
+def extraction_run(fx: Fixtures) -> DataFrame:
+    """Pages landed, extracted twice: commits and comments first, then the missing files.
+
+    The second run keeps what the first one stored.
+    """
+    landed, output = new_dir(fx.spark, "pages"), new_dir(fx.spark, "extraction")
+    landing.land_all(fx, landed)
+    config = ExtractionConfig(top_n_repositories=EXTRACTED_REPOSITORIES)
+    first = replace(config, include_file_diffs=False)
+    extraction.run_extraction(fx.spark, landed, output, "run1", first)
+    extraction.run_extraction(fx.spark, landed, output, "run2", config)
+    final = extraction.stored_records(fx.spark, output)
+    return stats.with_measures(final).groupBy("repository_name", "change_type").agg(
+        F.count(F.lit(1)).alias("prs"),
+        *[F.sum(name).alias(name) for name in stats.MEASURES],
+    )
+
+
 # Sources and sinks
 
 
