@@ -103,6 +103,18 @@ def nest_files(
     return nested.select(*key, F.transform("_rows", lambda row: row["value"]).alias("files"))
 
 
+def count_files(
+    files: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
+) -> DataFrame:
+    """``files_count`` and line sums per pull request, equal to those of the nested form."""
+    sizes = ["additions", "deletions", "changes"]
+    kept = cap_files(files.select(*key, POSITION, "filename", *sizes), key, cap)
+    return kept.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("files_count"),
+        *[F.sum(F.coalesce(size, F.lit(0))).alias(size) for size in sizes],
+    )
+
+
 def count_children(
     commits: DataFrame,
     comments: DataFrame,
@@ -127,13 +139,4 @@ def count_children(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("comments_count"))
     )
-    sizes = ["additions", "deletions", "changes"]
-    file_counts = (
-        cap_files(files.select(*key, POSITION, "filename", *sizes), key, caps[2])
-        .groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("files_count"),
-            *[F.sum(F.coalesce(size, F.lit(0))).alias(size) for size in sizes],
-        )
-    )
-    return commit_counts, comment_counts, file_counts
+    return commit_counts, comment_counts, count_files(files, key, caps[2])

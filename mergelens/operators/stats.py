@@ -94,6 +94,26 @@ def language_distribution(nested: DataFrame) -> DataFrame:
     )
 
 
+def languages_of_repositories(prs: DataFrame, repositories: DataFrame) -> DataFrame:
+    """``language_distribution`` before repositories are joined to pull requests.
+
+    Pull requests are counted per repository first, so a huge repository joins as one row.
+    """
+    counted = prs.groupBy("repository_full_name").agg(F.count(F.lit(1)).alias("_n"))
+    languages = each(
+        repositories,
+        [F.col("full_name").alias("repository_full_name")],
+        F.col("languages"),
+        "language",
+    )
+    return (
+        counted.join(languages, "repository_full_name")
+        .groupBy("language")
+        .agg(F.sum("_n").alias("count"))
+        .orderBy(F.col("count").desc(), "language")
+    )
+
+
 def top_values(df: DataFrame, column: str, n: int, missing: str | None = None) -> DataFrame:
     """The ``n`` most frequent values; nulls are skipped, or named when ``missing`` is given."""
     if missing is None:

@@ -74,11 +74,17 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A table for heavy per-row work: fewer files than cores are spread over the cores."""
+    def spread(self, name: str, *key: str) -> DataFrame:
+        """A table for heavy per-row work: fewer files than cores are spread over the cores.
+
+        ``key`` should be unique, so that a value that repeats often does not fill one task.
+        """
         table = self.table(name)
         cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+        return table.repartition(cores, *key) if len(table.inputFiles()) < cores else table
+
+    def _lines(self) -> DataFrame:
+        return self.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
     def _rows(self, name: str) -> Column:
         return self.table(name).agg(F.count(F.lit(1))).scalar()
@@ -188,7 +194,7 @@ class Fixtures:
     def commits(self) -> DataFrame:
         text = F.concat_ws("-", F.col("l_orderkey").cast("string"), "l_linenumber")
         return (
-            self.table("lineitem")
+            self._lines()
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 F.col("l_orderkey").alias("pr_number"),
@@ -204,7 +210,7 @@ class Fixtures:
         """Files; texts are cut to ``patch_limit`` before they are joined to the lines."""
         deletions = F.round(F.col("l_tax") * 100).cast("bigint")
         files = (
-            self.table("lineitem")
+            self._lines()
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_orderkey").alias("pr_number"),

@@ -66,14 +66,9 @@ def _nested(fx: Fixtures) -> DataFrame:
 
 
 def _measured(fx: Fixtures) -> DataFrame:
-    """Pull requests with repository attributes and measures, nothing nested."""
+    """Pull requests with measures, nothing nested."""
     counts = C.count_children(fx.commits, fx.comments, fx.files(patch=False), PR)
-    return stats.join_measures(_listed(fx), counts, PR)
-
-
-def _listed(fx: Fixtures) -> DataFrame:
-    """Pull requests with repository attributes, without texts and children."""
-    return join_repositories(fx.pull_requests(body=False), fx.repositories)
+    return stats.join_measures(fx.pull_requests(body=False), counts, PR)
 
 
 def _flat(fx: Fixtures) -> DataFrame:
@@ -296,8 +291,8 @@ def flatten_csv(fx: Fixtures) -> DataFrame:
 
 @query
 def min_changed_files(fx: Fixtures) -> DataFrame:
-    kept = select.with_min_changed_files(_measured(fx), MIN_FILES)
-    return kept.select("id", "files_count")
+    counted = fx.pull_requests(body=False).join(C.count_files(fx.files(patch=False), PR), "pr_number")
+    return select.with_min_changed_files(counted, MIN_FILES).select("id", "files_count")
 
 
 # Classification
@@ -427,12 +422,12 @@ def document_similarity(fx: Fixtures) -> DataFrame:
 
 @query
 def repo_distribution(fx: Fixtures) -> DataFrame:
-    return stats.distribution(_listed(fx), "repository_name")
+    return stats.distribution(fx.pull_requests(body=False), "repository_name")
 
 
 @query
 def language_distribution(fx: Fixtures) -> DataFrame:
-    return stats.language_distribution(_listed(fx))
+    return stats.languages_of_repositories(fx.pull_requests(body=False), fx.repositories)
 
 
 @query
@@ -462,7 +457,7 @@ def top_repos(fx: Fixtures) -> DataFrame:
 
 @query
 def repo_summary(fx: Fixtures) -> DataFrame:
-    return stats.repository_summary(_listed(fx))
+    return stats.repository_summary(fx.pull_requests(body=False))
 
 
 @query
