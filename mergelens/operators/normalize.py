@@ -121,6 +121,11 @@ def normalize_files(items: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def with_timestamps(df: DataFrame, *columns: str, suffix: str = "_ts") -> DataFrame:
+    """Typed copies of ISO-8601 text columns; unreadable text becomes null."""
+    return df.withColumns({f"{c}{suffix}": F.try_to_timestamp(F.col(c)) for c in columns})
+
+
 def with_reject_reason(df: DataFrame, required: dict[str, str]) -> DataFrame:
     """Add ``reject_reason``: the first required column that is null, as its given text."""
     reason = F.lit(None).cast("string")

@@ -520,7 +520,7 @@ SELECT id, CASE
   ELSE 'feature' END AS change_type, CAST({R.BASIC_CONFIDENCE} AS DOUBLE)
   AS change_type_confidence FROM fx_pr""",
     "commit_profile": _profile_of("fx_commit"),
-    "pr_similarity": f"""
+    "similarity": f"""
 SELECT p.pr_number, {_ROUNDED} FROM fx_head p LEFT JOIN pr_cosine c ON p.pr_number = c.pr_number
 """,
     "change_type_full": f"""

@@ -14,7 +14,8 @@ from mergelens.functions import text as X
 from mergelens.functions.arrays import each, each_at, each_entry
 from mergelens.operators import apply as A
 from mergelens.operators import children as C
-from mergelens.operators import classify, select, similarity, snapshots, stats
+from mergelens.operators import classify, select, snapshots, stats
+from mergelens.operators import similarity as N
 from mergelens.operators.assemble import assemble, join_repositories
 from mergelens.operators.normalize import POSITION, reject_summary
 from mergelens.plans import extraction, landing
@@ -340,21 +341,21 @@ def commit_profile(fx: Fixtures) -> DataFrame:
 def _similarity(fx: Fixtures) -> DataFrame:
     prs = fx.pull_requests().select("pr_number", "title", "body")
     messages = C.nest_commits(fx.commits, PR).select("pr_number", "commit_messages")
-    text = similarity.combined_text(F.col("title"), F.col("body"), F.col("commit_messages"))
+    text = N.combined_text(F.col("title"), F.col("body"), F.col("commit_messages"))
     joined = prs.join(messages, "pr_number", "left").select(
         "pr_number",
         text.alias("text"),
     )
-    return similarity.text_similarity(joined, ["pr_number"], stop_words=STOP_WORDS)
+    return N.text_similarity(joined, ["pr_number"], stop_words=STOP_WORDS)
 
 
 @query
-def pr_similarity(fx: Fixtures) -> DataFrame:
+def similarity(fx: Fixtures) -> DataFrame:
     return _similarity(fx).select(
         "pr_number",
         *[
             F.round(f"similarity_{name}", 6).alias(f"similarity_{name}")
-            for name in similarity.PROTOTYPES
+            for name in N.PROTOTYPES
         ],
     )
 
@@ -374,7 +375,7 @@ def change_type_full(fx: Fixtures) -> DataFrame:
 @query
 def tokens(fx: Fixtures) -> DataFrame:
     """Words of every document without stop words, counted."""
-    words = similarity.tokens(F.col("text"), STOP_WORDS)
+    words = N.tokens(F.col("text"), STOP_WORDS)
     return (
         fx.spread("documents", "doc_id")
         .transform(each, [], words, "token")
@@ -387,17 +388,17 @@ def tokens(fx: Fixtures) -> DataFrame:
 def tokens_stemmed(fx: Fixtures) -> DataFrame:
     """Stems of every document's words, counted; each distinct word is stemmed once."""
     counted = tokens(fx)
-    stem = F.element_at(similarity.stem_words(F.array("token")), 1)
+    stem = F.element_at(N.stem_words(F.array("token")), 1)
     return counted.groupBy(stem.alias("stem")).agg(F.sum("count").alias("count"))
 
 
 @query
 def tfidf(fx: Fixtures) -> DataFrame:
-    terms = similarity.with_terms(
+    terms = N.with_terms(
         fx.spread("documents", "doc_id").select("doc_id", "text"), "text", STOP_WORDS
     )
-    vocabulary = similarity.fit_vocabulary(terms, MAX_TERMS)
-    return similarity.tfidf_weights(terms, vocabulary, ["doc_id"]).select(
+    vocabulary = N.fit_vocabulary(terms, MAX_TERMS)
+    return N.tfidf_weights(terms, vocabulary, ["doc_id"]).select(
         "doc_id", "term", F.round("weight", 6).alias("weight")
     )
 
@@ -405,14 +406,14 @@ def tfidf(fx: Fixtures) -> DataFrame:
 @query
 def document_similarity(fx: Fixtures) -> DataFrame:
     """Cosine of every document with the three prototypes."""
-    scored = similarity.text_similarity(
+    scored = N.text_similarity(
         fx.spread("documents", "doc_id").select("doc_id", "text"), ["doc_id"], stop_words=STOP_WORDS
     )
     return scored.select(
         "doc_id",
         *[
             F.round(f"similarity_{name}", 6).alias(f"similarity_{name}")
-            for name in similarity.PROTOTYPES
+            for name in N.PROTOTYPES
         ],
     )
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mergelens.operators import snapshots, stats
-from mergelens.operators.normalize import split_rejects
+from mergelens.operators.normalize import split_rejects, with_timestamps
 from mergelens.sources import envelopes as E
 from mergelens.sources import pages as P
 from tests.conftest import rows
@@ -140,6 +140,13 @@ def test_pull_requests_and_rejects(spark):
         (2, "missing author"), (3, "missing title")]
 
 
+def test_typed_times(spark):
+    df = spark.createDataFrame([("2023-10-01T12:00:00Z",), ("soon",), (None,)], "created_at string")
+    typed = [r[0] for r in with_timestamps(df, "created_at").select(
+        F.date_format("created_at_ts", "yyyy-MM-dd HH:mm")).collect()]
+    assert typed == ["2023-10-01 12:00", None, None]
+
+
 def test_repositories_with_languages(spark):
     item = {"name": "r", "full_name": "o/r", "html_url": "h", "stargazers_count": 1,
             "forks_count": 2, "description": None, "size": 3, "fork": False, "archived": False,
