@@ -11,7 +11,7 @@ from mergelens.functions import text as X
 from mergelens.functions.rules import CONFIDENCE_THRESHOLD
 from mergelens.operators import children as C
 from mergelens.operators.classify import classify_basic, classify_nested
-from mergelens.operators.similarity import combined_text, text_similarity
+from mergelens.operators.similarity import pull_request_similarity
 from mergelens.schemas import COMMENT_VALUE, COMMIT_VALUE, FILE_VALUE, PULL_REQUEST_FIELDS
 
 NEEDS = ("need_commits", "need_comments", "need_files")
@@ -109,13 +109,12 @@ def assemble(
         classified = classify_basic(joined)
     else:
         if similarity:
-            texts = joined.select(
-                "id",
-                combined_text(F.col("title"), F.col("body"), F.col("commit_messages")).alias(
-                    "text"
-                ),
-            )
-            joined = joined.join(text_similarity(texts, ["id"]), "id", "left")
+            messages = None
+            if commits is not None and analyze_commits:
+                rows = _needed(prs, "need_commits", commits, key)
+                messages = C.nest_commits(rows, key, caps[0]).select(*key, "commit_messages")
+            cosines = pull_request_similarity(prs, messages, key)
+            joined = joined.join(cosines, list(key), "left")
         classified = classify_nested(
             joined, threshold=threshold, analyze_commits=analyze_commits,
             commit_profile=commit_profile, similarity=similarity,

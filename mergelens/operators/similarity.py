@@ -62,17 +62,24 @@ def tokens(
     return stem_words(words) if stem else words
 
 
-def ngrams(words: Column, lengths: tuple[int, int] = NGRAMS) -> Column:
-    """All n-grams of the given lengths, joined by a space; those with a null word are null."""
+def ngrams(
+    words: Column, lengths: tuple[int, int] = NGRAMS, lead: Column | None = None
+) -> Column:
+    """All n-grams of the given lengths, joined by a space; those with a null word are null.
+
+    ``lead`` holds words that come before: n-grams may start there but not end there.
+    """
+
     def of_length(n: int) -> Column:
         if n == 1:
             return words
-        count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-        joined = F.slice(words, F.lit(1), count)
+        line = words if lead is None else F.concat(_last(lead, n - 1), words)
+        count = F.greatest(F.size(line) - (n - 1), F.lit(0))
+        joined = F.slice(line, F.lit(1), count)
         for shift in range(1, n):
             joined = F.zip_with(
                 joined,
-                F.slice(words, F.lit(shift + 1), count),
+                F.slice(line, F.lit(shift + 1), count),
                 lambda left, right: F.concat(left, F.lit(" "), right),
             )
         return joined
@@ -81,6 +88,21 @@ def ngrams(words: Column, lengths: tuple[int, int] = NGRAMS) -> Column:
     return F.concat(*[of_length(n) for n in range(low, high + 1)])
 
 
+def _last(words: Column, count: int) -> Column:
+    """The last ``count`` words, or all when there are fewer."""
+    return F.slice(words, F.greatest(F.size(words) - (count - 1), F.lit(1)), F.lit(count))
+
+
+def _known_words(words: Column, known: Sequence[str]) -> Column:
+    """Words that are part of no known term become null."""
+    parts = sorted({word for term in known for word in term.split(" ")})
+    return F.transform(words, lambda w: F.when(w.isin(parts), w))
+
+
+def _known_terms(terms: Column, known: Sequence[str]) -> Column:
+    return F.filter(terms, lambda t: t.isNotNull() & t.isin(list(known)))
+
+
 def with_terms(
     docs: DataFrame,
     text: str = "text",
@@ -98,14 +120,9 @@ def with_terms(
     ).drop(text)
     if known is None:
         return words.withColumn("terms", ngrams(F.col("_words"), lengths)).drop("_words")
-    parts = sorted({word for term in known for word in term.split(" ")})
-    blanked = F.transform("_words", lambda w: F.when(w.isin(parts), w))
-    terms = F.filter(
-        ngrams(F.col("_blanked"), lengths), lambda t: t.isNotNull() & t.isin(list(known))
-    )
-    return words.withColumn("_blanked", blanked).withColumn("terms", terms).drop(
-        "_words", "_blanked"
-    )
+    blanked = words.withColumn("_words", _known_words(F.col("_words"), known))
+    terms = _known_terms(ngrams(F.col("_words"), lengths), known)
+    return blanked.withColumn("terms", terms).drop("_words")
 
 
 def fit_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -193,33 +210,84 @@ def cosine_to_prototypes(
     )
 
 
+class Prototypes:
+    """A fitted vocabulary with the prototype texts to compare with.
+
+    Both are small by construction: the vocabulary has at most ``MAX_FEATURES`` terms, and the
+    prototypes are a parameter.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        training: Sequence[str] = TRAINING_SENTENCES,
+        prototypes: Mapping[str, str] | None = None,
+        stop_words: Sequence[str] | None = None,
+    ) -> None:
+        self.stop_words = english_stop_words() if stop_words is None else list(stop_words)
+        trained = spark.createDataFrame([(t,) for t in training], "text string")
+        fixed = list((PROTOTYPES if prototypes is None else prototypes).items())
+        named = spark.createDataFrame(fixed, "name string, text string")
+        self.vocabulary = fit_vocabulary(with_terms(trained, "text", self.stop_words))
+        self.terms = with_terms(named, "text", self.stop_words)
+        self.known = [row["term"] for row in self.vocabulary.select("term").collect()]
+
+    def cosine(self, terms: DataFrame, key: Sequence[str]) -> DataFrame:
+        return cosine_to_prototypes(terms, self.vocabulary, self.terms, key)
+
+
 def text_similarity(
     docs: DataFrame,
     key: Sequence[str],
     text: str = "text",
-    training: Sequence[str] = TRAINING_SENTENCES,
-    prototypes: Mapping[str, str] | None = None,
-    stop_words: Sequence[str] | None = None,
+    prototypes: Prototypes | None = None,
     stem: bool = False,
 ) -> DataFrame:
     """Cosine of every text with every prototype, over the vocabulary of the training texts.
 
     Only the scored texts are stemmed, never the vocabulary.
     """
-    spark: SparkSession = docs.sparkSession
-    stops = english_stop_words() if stop_words is None else list(stop_words)
-    fixed = PROTOTYPES if prototypes is None else prototypes
-    trained = spark.createDataFrame([(t,) for t in training], "text string")
-    vocabulary = fit_vocabulary(with_terms(trained, "text", stops))
-    models = with_terms(
-        spark.createDataFrame(list(fixed.items()), "name string, text string"), "text", stops
+    model = prototypes or Prototypes(docs.sparkSession)
+    scored = with_terms(
+        docs.select(*key, text), text, model.stop_words, stem=stem, known=model.known
     )
-    # At most max_features terms.
-    known = [row["term"] for row in vocabulary.select("term").collect()]
-    scored = with_terms(docs.select(*key, text), text, stops, stem=stem, known=known)
-    return cosine_to_prototypes(scored, vocabulary, models, key)
+    return model.cosine(scored, key)
+
+
+def pull_request_similarity(
+    prs: DataFrame,
+    messages: DataFrame | None,
+    key: Sequence[str],
+    prototypes: Prototypes | None = None,
+    stem: bool = False,
+) -> DataFrame:
+    """``text_similarity`` of title, body and commit messages as one text.
 
+    ``messages`` has the key and ``commit_messages``. Title and body are reduced to their known
+    terms and last words before the messages are joined, so no long text is shuffled.
+    """
+    model = prototypes or Prototypes(prs.sparkSession)
+
+    def words(text: Column) -> Column:
+        return tokens(text, model.stop_words, stem=stem, min_length=2)
 
-def combined_text(title: Column, body: Column, messages: Column) -> Column:
-    """Title, body and commit messages in one text."""
-    return F.concat_ws(" ", title, F.coalesce(body, F.lit("")), F.array_join(messages, " "))
+    own = (
+        prs.select(*key, F.concat_ws(" ", "title", F.coalesce("body", F.lit(""))).alias("_text"))
+        .select(*key, _known_words(words(F.col("_text")), model.known).alias("_words"))
+        .select(
+            *key,
+            _known_terms(ngrams(F.col("_words")), model.known).alias("terms"),
+            _last(F.col("_words"), NGRAMS[1] - 1).alias("_lead"),
+        )
+    )
+    if messages is None:
+        return model.cosine(own.drop("_lead"), key)
+    later = messages.select(
+        *key,
+        _known_words(words(F.array_join("commit_messages", " ")), model.known).alias("_more"),
+    )
+    more = _known_terms(ngrams(F.col("_more"), NGRAMS, F.col("_lead")), model.known)
+    joined = own.join(later, list(key), "left").withColumn(
+        "_more", F.coalesce("_more", F.array().cast("array<string>"))
+    )
+    return model.cosine(joined.select(*key, F.concat("terms", more).alias("terms")), key)

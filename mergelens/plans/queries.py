@@ -339,14 +339,9 @@ def commit_profile(fx: Fixtures) -> DataFrame:
 
 
 def _similarity(fx: Fixtures) -> DataFrame:
-    prs = fx.pull_requests().select("pr_number", "title", "body")
     messages = C.nest_commits(fx.commits, PR).select("pr_number", "commit_messages")
-    text = N.combined_text(F.col("title"), F.col("body"), F.col("commit_messages"))
-    joined = prs.join(messages, "pr_number", "left").select(
-        "pr_number",
-        text.alias("text"),
-    )
-    return N.text_similarity(joined, ["pr_number"], stop_words=STOP_WORDS)
+    model = N.Prototypes(fx.spark, stop_words=STOP_WORDS)
+    return N.pull_request_similarity(fx.pull_requests(), messages, PR, model)
 
 
 @query
@@ -407,7 +402,8 @@ def tfidf(fx: Fixtures) -> DataFrame:
 def document_similarity(fx: Fixtures) -> DataFrame:
     """Cosine of every document with the three prototypes."""
     scored = N.text_similarity(
-        fx.spread("documents", "doc_id").select("doc_id", "text"), ["doc_id"], stop_words=STOP_WORDS
+        fx.spread("documents", "doc_id").select("doc_id", "text"), ["doc_id"],
+        prototypes=N.Prototypes(fx.spark, stop_words=STOP_WORDS),
     )
     return scored.select(
         "doc_id",

@@ -87,7 +87,7 @@ def test_cosine_equals_brute_force(spark):
         "fix fix bug bug error typo in documentation",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
-    found = S.text_similarity(df, ["k"], stop_words=STOPS).orderBy("k").collect()
+    found = S.text_similarity(df, ["k"], prototypes=S.Prototypes(spark, stop_words=STOPS)).orderBy("k").collect()
     idf = _fit(S.TRAINING_SENTENCES)
     for row, text in zip(found, texts, strict=True):
         for name, prototype in S.PROTOTYPES.items():
@@ -97,11 +97,27 @@ def test_cosine_equals_brute_force(spark):
 
 def test_stemmed_inputs_meet_an_unstemmed_vocabulary(spark):
     df = spark.createDataFrame([(1, "resolve")], "k int, text string")
-    assert S.text_similarity(df, ["k"], stop_words=STOPS).first().similarity_fix > 0
-    assert S.text_similarity(df, ["k"], stop_words=STOPS, stem=True).first().similarity_fix == 0
+    assert S.text_similarity(df, ["k"], prototypes=S.Prototypes(spark, stop_words=STOPS)).first().similarity_fix > 0
+    assert S.text_similarity(
+        df, ["k"], prototypes=S.Prototypes(spark, stop_words=STOPS), stem=True).first().similarity_fix == 0
 
 
 def test_default_stop_words(spark):
     assert {"the", "and", "of"} <= set(S.english_stop_words())
     df = spark.createDataFrame([(1, "fix the bug")], "k int, text string")
     assert rows(S.text_similarity(df, ["k"]).select("k")) == [(1,)]
+
+
+def test_parts_equal_the_whole_text(spark):
+    """Bigrams across the border of body and messages count as in one text."""
+    data = [(1, "Update", "some readme", ["examples", "fix bug"]), (2, "create api", None, None),
+            (3, "x", "security", ["vulnerability in the user", "manual"]), (4, "", "", ["typo"])]
+    prs = spark.createDataFrame([d[:3] for d in data], "k int, title string, body string")
+    messages = spark.createDataFrame([(d[0], d[3]) for d in data if d[3]],
+                                     "k int, commit_messages array<string>")
+    model = S.Prototypes(spark, stop_words=STOPS)
+    whole = spark.createDataFrame(
+        [(k, " ".join([t, b or "", *(m or [])])) for k, t, b, m in data], "k int, text string")
+    parts = S.pull_request_similarity(prs, messages, ["k"], model)
+    assert rows(parts) == rows(S.text_similarity(whole, ["k"], prototypes=model))
+    assert rows(S.pull_request_similarity(prs, None, ["k"], model)) != rows(parts)
