@@ -112,7 +112,7 @@ def assemble(
             messages = None
             if commits is not None and analyze_commits:
                 rows = _needed(prs, "need_commits", commits, key)
-                messages = C.nest_commits(rows, key, caps[0]).select(*key, "commit_messages")
+                messages = C.commit_messages(rows, key, caps[0])
             cosines = pull_request_similarity(prs, messages, key)
             joined = joined.join(cosines, list(key), "left")
         classified = classify_nested(

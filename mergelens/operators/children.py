@@ -69,6 +69,18 @@ def nest_commits(
     )
 
 
+def commit_messages(
+    commits: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
+) -> DataFrame:
+    """Per pull request: ``commit_messages`` in page order, without the other commit fields."""
+    narrow = commits.select(*key, POSITION, "sha", "message")
+    rows = last_commits(cap_commits(narrow, key, cap), key)
+    nested = rows.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct(POSITION, "message"))).alias("_rows")
+    )
+    return nested.select(*key, F.col("_rows.message").alias("commit_messages"))
+
+
 def nest_comments(
     comments: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
 ) -> DataFrame:
@@ -103,6 +115,14 @@ def nest_files(
     return nested.select(*key, F.transform("_rows", lambda row: row["value"]).alias("files"))
 
 
+def count_comments(
+    comments: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
+) -> DataFrame:
+    """``comments_count`` per pull request: all comments up to the shared cap."""
+    counted = comments.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select(*key, F.least("_n", F.lit(cap).cast("bigint")).alias("comments_count"))
+
+
 def count_files(
     files: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
 ) -> DataFrame:
@@ -134,9 +154,8 @@ def count_children(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("commits_count"))
     )
-    comment_counts = (
-        cap_comments(comments.select(*key, POSITION, "type"), key, caps[1])
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("comments_count"))
+    return (
+        commit_counts,
+        count_comments(comments, key, caps[1]),
+        count_files(files, key, caps[2]),
     )
-    return commit_counts, comment_counts, count_files(files, key, caps[2])

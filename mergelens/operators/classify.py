@@ -151,6 +151,7 @@ def score_pull_requests(
     """Add ``points_*``, ``change_type``, ``change_type_confidence`` and ``reason_count``.
 
     The body is dropped as soon as its points are known, so long texts are never joined.
+    ``commits_count`` is the number of commits that were looked at.
     ``similarity`` has the key columns and one cosine column ``similarity_*`` per type.
     """
     own = _own_text(prs, rules).drop("body", "_labels", "_keywords")
@@ -172,6 +173,7 @@ def score_pull_requests(
         "change_type",
         "change_type_confidence",
         "reason_count",
+        F.col("total_commits").cast("bigint").alias("commits_count"),
     )
 
 

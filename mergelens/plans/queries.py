@@ -82,7 +82,7 @@ def _flat(fx: Fixtures) -> DataFrame:
         }
     )
     scored = classify.score_pull_requests(prs, fx.commits, PR)
-    counts = C.count_children(fx.commits, fx.comments, fx.files(patch=False), PR)
+    counts = [C.count_comments(fx.comments, PR), C.count_files(fx.files(patch=False), PR)]
     return stats.join_measures(join_repositories(scored, fx.repositories), counts, PR)
 
 
@@ -315,7 +315,7 @@ def change_type(fx: Fixtures) -> DataFrame:
 @query
 def change_reasons(fx: Fixtures) -> DataFrame:
     """How often each reason is given to a pull request."""
-    messages = C.nest_commits(fx.commits, PR).select("pr_number", "commit_messages")
+    messages = C.commit_messages(fx.commits, PR)
     nested = classify.classify_nested(
         fx.pull_requests().join(messages, "pr_number", "left"), commit_profile=True
     )
@@ -339,7 +339,7 @@ def commit_profile(fx: Fixtures) -> DataFrame:
 
 
 def _similarity(fx: Fixtures) -> DataFrame:
-    messages = C.nest_commits(fx.commits, PR).select("pr_number", "commit_messages")
+    messages = C.commit_messages(fx.commits, PR)
     model = N.Prototypes(fx.spark, stop_words=STOP_WORDS)
     return N.pull_request_similarity(fx.pull_requests(), messages, PR, model)
 
