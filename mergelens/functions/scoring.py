@@ -42,16 +42,15 @@ def keyword_codes(title: Column, combined: Column, rules: RuleSet) -> Column:
     """Found keywords as an array of codes, in rule order.
 
     The code is twice the number of the keyword, plus one when the title has it. Every keyword is
-    searched once; counts and reasons are read off the codes.
+    searched once, and in the title only when the whole text has it; counts and reasons are read
+    off the codes.
     """
-    found = []
-    for number, keyword in enumerate(_all_keywords(rules)):
-        found.append(
-            F.when(F.contains(title, F.lit(keyword)), F.lit(2 * number + 1)).when(
-                F.contains(combined, F.lit(keyword)), F.lit(2 * number)
-            )
-        )
-    return F.array_compact(F.array(*found))
+
+    def code(number: int, keyword: str) -> Column:
+        place = F.when(F.contains(title, F.lit(keyword)), F.lit(2 * number + 1))
+        return F.when(F.contains(combined, F.lit(keyword)), place.otherwise(F.lit(2 * number)))
+
+    return F.array_compact(F.array(*[code(*item) for item in enumerate(_all_keywords(rules))]))
 
 
 def _all_keywords(rules: RuleSet) -> list[str]:
