@@ -623,7 +623,7 @@ SELECT repository_name, id, batch, batches,
 SELECT count(*) AS total_prs, false AS is_incremental_save, true AS is_final_save,
   CAST(NULL AS VARCHAR) AS batch_name, count(*) FILTER (WHERE need_commits) AS commits,
   count(*) FILTER (WHERE need_comments) AS comments, count(*) FILTER (WHERE need_files) AS files,
-  'microsoft' AS organization, 10 AS top_n_repositories, 100000 AS max_prs_per_repo,
+  'example' AS organization, 10 AS top_n_repositories, 100000 AS max_prs_per_repo,
   300 AS batch_size FROM fx_needs""",
     "extraction_run": "SELECT repository_name, change_type, count(*) AS prs, " + ", ".join(
         f"CAST(sum({m}) AS BIGINT) AS {m}" for m in _MEASURES

@@ -292,7 +292,8 @@ def flatten_csv(fx: Fixtures) -> DataFrame:
 
 @query
 def min_changed_files(fx: Fixtures) -> DataFrame:
-    counted = fx.pull_requests(body=False).join(C.count_files(fx.files(patch=False), PR), "pr_number")
+    counts = C.count_files(fx.files(patch=False), PR)
+    counted = fx.pull_requests(body=False).join(counts, "pr_number")
     return select.with_min_changed_files(counted, MIN_FILES).select("id", "files_count")
 
 
