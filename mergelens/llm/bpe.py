@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: White space of Unicode, as the tokenizer's expressions take it (fixed values).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -266,7 +267,7 @@ def encode_texts(
     schema = docs.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string")
     schema = schema.add("decoded_sha256", "string")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
     if with_text:
         schema = schema.add("decoded", "string")
     return docs.select(*keep, "text").mapInArrow(code, schema)

@@ -151,6 +151,12 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Data
     )
 
 
+def contaminated_ids(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
+    """The distinct ids of the documents that ``contamination`` calls contaminated."""
+    judged = contamination(docs, benchmark, window)
+    return judged.where("contaminated").select("doc_id").distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document row.
 
