@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from mergelens.plans.oracles import ORACLES
+from mergelens.plans.queries import QUERIES
 from tests.compare import compare, connect
 from tests.conftest import SF_SMALL, plan_text
 
@@ -18,10 +20,12 @@ def duck():
 
 
 def test_names_agree():
-    assert set(entry.oracle_sql()) | ROWS_ONLY == set(entry.queries())
+    assert set(ORACLES) | ROWS_ONLY == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
     count, _, _ = compare(spark, duck, SF_SMALL, entry.queries()[name], entry.oracle_sql()[name])
     assert count > 0
@@ -37,7 +41,7 @@ def test_entry_has_the_three_types(spark):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in entry.queries() if n not in WRITES and not n.startswith("stream"))
+    "name", sorted(n for n in QUERIES if n not in WRITES and not n.startswith("stream"))
 )
 def test_no_cross_join(spark, name):
     text = plan_text(entry.queries()[name](spark, SF_SMALL))
