@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergelens.llm import bpe, contamination, quality, secret_scan
+from mergelens.llm import bpe, contamination, neardup, quality, secret_scan
 from mergelens.llm.queries import table, vocabulary_path
 from mergelens.session import new_dir
 
@@ -29,6 +29,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("score") >= QUALITY).select(*COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of every group of near duplicates."""
+    judged = neardup.near_duplicates(docs, neardup.NearDuplicates(shingle=SHINGLE_WORDS))
+    dropped = judged.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make less than a twentieth of the words."""
     found = contamination.contaminated_ids(docs, table(spark, sf_dir, "benchmark"))
@@ -57,6 +64,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("secrets", redact_secrets),
     ("tokens", encode),

@@ -72,4 +72,55 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op8_contamination": _OP8, "op10_url_filter": _OP10}
+_OP9 = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS run
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 11, 1))) AS i FROM words)
+), least AS (SELECT run, min(doc_id) AS least FROM windows GROUP BY run
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place
+    FROM windows JOIN least USING (run) WHERE doc_id > least
+), places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM words
+), kept AS (
+    SELECT p.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS text
+    FROM places p ANTI JOIN gone g USING (doc_id, place) GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept USING (doc_id)
+"""
+
+_OP7 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i
+        FROM words WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": _OP7,
+    "op8_contamination": _OP8,
+    "op9_repeated_passages": _OP9,
+    "op10_url_filter": _OP10,
+}

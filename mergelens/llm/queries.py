@@ -11,8 +11,10 @@ from mergelens.llm import (
     bpe,
     contamination,
     fingerprints,
+    neardup,
     page_text,
     quality,
+    repeats,
     secret_scan,
     shards,
     urls,
@@ -84,12 +86,20 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
@@ -103,7 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_bpe,
         op5_page_text,
         op6_shards,
+        op7_near_duplicates,
         op8_contamination,
+        op9_repeated_passages,
         op10_url_filter,
     )
 }
