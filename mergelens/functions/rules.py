@@ -25,52 +25,47 @@ class TypeRules:
     commit_patterns: tuple[str, ...]
 
 
-def _words(text: str) -> tuple[str, ...]:
-    return tuple(part.strip() for part in text.split(","))
-
-
-def _patterns(*patterns: str) -> tuple[str, ...]:
-    return patterns
-
-
 # Fixed values.
 FIX = TypeRules(
-    labels=_words(
-        "bug, bugfix, fix, hotfix, patch, security, critical, regression, memory-leak, crash, "
-        "error"
+    labels=(
+        "bug", "bugfix", "fix", "hotfix", "patch", "security", "critical", "regression",
+        "memory-leak", "crash", "error",
     ),
-    keywords=_words(
-        "fix, bug, patch, hotfix, resolve, close, closes, fixes, repair, correct, issue, problem, "
-        "error, crash, failure, broken, regression, security, vulnerability, memory leak"
+    keywords=(
+        "fix", "bug", "patch", "hotfix", "resolve", "close", "closes", "fixes", "repair",
+        "correct", "issue", "problem", "error", "crash", "failure", "broken", "regression",
+        "security", "vulnerability", "memory leak",
     ),
-    commit_patterns=_patterns(
+    commit_patterns=(
         r"\bfix\b", r"\bbug\b", r"\bpatch\b", r"\bhotfix\b", r"\bresolve[sd]?\b",
         r"\bclose[sd]?\b", r"\bissue\s*#?\d+", r"\bfixes?\s*#?\d+",
     ),
 )
 FEATURE = TypeRules(
-    labels=_words(
-        "feature, enhancement, new-feature, improvement, api, new, addition, capability, "
-        "functionality"
+    labels=(
+        "feature", "enhancement", "new-feature", "improvement", "api", "new", "addition",
+        "capability", "functionality",
     ),
-    keywords=_words(
-        "add, feature, implement, new, create, introduce, support, enable, enhance, improvement, "
-        "upgrade, extend, expand, capability, functionality, option, api, endpoint"
+    keywords=(
+        "add", "feature", "implement", "new", "create", "introduce", "support", "enable",
+        "enhance", "improvement", "upgrade", "extend", "expand", "capability", "functionality",
+        "option", "api", "endpoint",
     ),
-    commit_patterns=_patterns(
+    commit_patterns=(
         r"\badd\b", r"\bfeature\b", r"\bimplement\b", r"\bnew\b", r"\bcreate\b",
         r"\bintroduce\b", r"\benhance\b", r"\bimprove\b",
     ),
 )
 DOC = TypeRules(
-    labels=_words(
-        "documentation, docs, readme, wiki, guide, tutorial, example, changelog, license"
+    labels=(
+        "documentation", "docs", "readme", "wiki", "guide", "tutorial", "example", "changelog",
+        "license",
     ),
-    keywords=_words(
-        "doc, documentation, readme, comment, comments, guide, tutorial, example, sample, "
-        "markdown, wiki, manual, specification, spec, changelog, license"
+    keywords=(
+        "doc", "documentation", "readme", "comment", "comments", "guide", "tutorial", "example",
+        "sample", "markdown", "wiki", "manual", "specification", "spec", "changelog", "license",
     ),
-    commit_patterns=_patterns(
+    commit_patterns=(
         r"\bdoc\b", r"\bdocumentation\b", r"\breadme\b", r"\bcomment\b", r"\bguide\b",
         r"\btutorial\b", r"\bexample\b",
     ),
@@ -93,13 +88,13 @@ LONG_BODY_WORDS = 50
 CONFIDENCE_THRESHOLD = 0.6
 
 # Word lists of the commit profile, the title bonus, the doc bonus, the basic form.
-URGENT_WORDS = _words("hotfix, critical, urgent, emergency, asap")
-REFACTOR_WORDS = _words("refactor, restructure, reorganize, cleanup")
-TEST_WORDS = _words("test, testing, spec, unittest, integration")
-SHORT_TITLE_FIX_WORDS = _words("fix, patch, hotfix")
-DOC_WORDS = _words("readme, doc")
-BASIC_FIX_WORDS = _words("fix, bug, patch")
-BASIC_DOC_WORDS = _words("doc, readme, documentation")
+URGENT_WORDS = ("hotfix", "critical", "urgent", "emergency", "asap")
+REFACTOR_WORDS = ("refactor", "restructure", "reorganize", "cleanup")
+TEST_WORDS = ("test", "testing", "spec", "unittest", "integration")
+SHORT_TITLE_FIX_WORDS = ("fix", "patch", "hotfix")
+DOC_WORDS = ("readme", "doc")
+BASIC_FIX_WORDS = ("fix", "bug", "patch")
+BASIC_DOC_WORDS = ("doc", "readme", "documentation")
 BASIC_CONFIDENCE = 0.5
 DEFAULT_TYPE = "feature"
 
