@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergelens.functions.text import PATCH_LIMIT, truncate_patch
@@ -42,28 +42,42 @@ def cap_files(
     return first_n(distinct, key, [F.col(POSITION)], cap)
 
 
-def last_commits(commits: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """One row per (pull request, sha): the last occurrence wins."""
-    fields = [name for name in commits.columns if name not in (*key, "sha")]
-    newest = F.max_by(F.struct(*fields), F.col(POSITION)).alias("_last")
-    return commits.groupBy(*key, "sha").agg(newest).select(*key, "sha", "_last.*")
+def _last_of_each(rows: Column, name: str) -> Column:
+    """Entries of an array whose ``name`` is set and does not come again later."""
+    names = F.transform(rows, lambda row: row[name])
+
+    def is_last(row: Column, at: Column) -> Column:
+        later = F.slice(names, at + 2, F.greatest(F.size(rows), F.lit(1)))
+        return row[name].isNotNull() & ~F.array_contains(later, row[name])
+
+    return F.filter(rows, is_last)
 
 
 def nest_commits(
     commits: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
 ) -> DataFrame:
-    """Per pull request: ``commits`` as a map by sha, ``commit_messages`` in page order."""
-    rows = last_commits(cap_commits(commits, key, cap), key)
+    """Per pull request: ``commits`` as a map by sha, ``commit_messages`` in page order.
+
+    The map has the last occurrence of each sha and leaves commits without one out; the messages
+    are those of all commits up to the cap, as the classifier reads them.
+    """
     entry = F.struct(
         F.col(POSITION),
         F.col("sha"),
         F.struct(F.col("message").alias("commit_message"), "author", "date").alias("value"),
     )
-    nested = rows.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
+    nested = (
+        cap_commits(commits, key, cap)
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
+    )
     return nested.select(
         *key,
         F.map_from_entries(
-            F.transform("_rows", lambda row: F.struct(row["sha"], row["value"]))
+            F.transform(
+                _last_of_each(F.col("_rows"), "sha"),
+                lambda row: F.struct(row["sha"], row["value"]),
+            )
         ).alias("commits"),
         F.transform("_rows", lambda row: row["value"]["commit_message"]).alias("commit_messages"),
     )
@@ -73,9 +87,8 @@ def commit_messages(
     commits: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
 ) -> DataFrame:
     """Per pull request: ``commit_messages`` in page order, without the other commit fields."""
-    narrow = commits.select(*key, POSITION, "sha", "message")
-    rows = last_commits(cap_commits(narrow, key, cap), key)
-    nested = rows.groupBy(*key).agg(
+    narrow = commits.select(*key, POSITION, "message")
+    nested = cap_commits(narrow, key, cap).groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct(POSITION, "message"))).alias("_rows")
     )
     return nested.select(*key, F.col("_rows.message").alias("commit_messages"))
@@ -103,12 +116,22 @@ def nest_files(
     cap: int = DEFAULT_CAP,
     patch_limit: int = PATCH_LIMIT,
 ) -> DataFrame:
-    """Per pull request: ``files`` in page order; patches are cut before any shuffle."""
+    """Per pull request: ``files`` in page order.
+
+    Names are deduplicated and capped without the patches. These are cut before their one shuffle:
+    the join with the kept places and the nesting both go by the key.
+    """
     cut = files.withColumn("patch", truncate_patch(F.col("patch"), patch_limit))
+    kept = (
+        cap_files(files.select(*key, POSITION, "filename"), key, cap)
+        .groupBy(*key)
+        .agg(F.collect_list(POSITION).alias("_kept"))
+    )
     value = F.struct("filename", "status", "additions", "deletions", "changes", "patch")
-    entry = F.struct("rank", value.alias("value"))
+    entry = F.struct(POSITION, value.alias("value"))
     nested = (
-        cap_files(cut, key, cap)
+        cut.join(kept, list(key))
+        .filter(F.array_contains("_kept", F.col(POSITION)))
         .groupBy(*key)
         .agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
     )
@@ -146,13 +169,10 @@ def count_children(
 
     Nothing is nested: only the columns that are counted travel.
     """
-    position = F.col(POSITION)
     commit_counts = (
         cap_commits(commits.select(*key, POSITION, "sha"), key, caps[0])
-        .groupBy(*key, "sha")
-        .agg(F.max(position))
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("commits_count"))
+        .agg(F.size(F.collect_set("sha")).cast("bigint").alias("commits_count"))
     )
     return (
         commit_counts,

@@ -17,16 +17,21 @@ from mergelens.functions import scoring as S
 from mergelens.functions import text as X
 from mergelens.functions.arrays import each
 from mergelens.functions.rules import DEFAULT_RULES, RuleSet
-from mergelens.operators.children import DEFAULT_CAP, DEFAULT_KEY, cap_commits, last_commits
+from mergelens.operators.children import DEFAULT_CAP, DEFAULT_KEY, cap_commits
 from mergelens.operators.normalize import POSITION
 
 _PROFILE = ("urgent", "refactor", "test")
 
 
-def profile_commits(commits: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """Commits per word list, total and mean message length, per pull request."""
+def profile_commits(
+    commits: DataFrame, key: Sequence[str] = DEFAULT_KEY, cap: int = DEFAULT_CAP
+) -> DataFrame:
+    """Commits per word list, total and mean message length, per pull request.
+
+    All commits up to the cap count, as in the classifier; a repeated sha counts each time.
+    """
     lowered = F.lower(F.col("message"))
-    flags = commits.select(
+    flags = cap_commits(commits.select(*key, POSITION, "message"), key, cap).select(
         *key,
         F.length("message").alias("_length"),
         *[flag.alias(name) for name, flag in S.commit_profile_flags(lowered).items()],
@@ -41,12 +46,16 @@ def profile_commits(commits: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> Dat
 def _commit_points(
     commits: DataFrame, key: Sequence[str], rules: RuleSet, cap: int
 ) -> DataFrame:
-    """Pattern hits per type and profile counts, summed over the commits of a pull request."""
-    rows = last_commits(
-        cap_commits(commits.select(*key, POSITION, "sha", "message"), key, cap), key
-    ).withColumn("_text", F.lower(F.col("message")))
+    """Pattern hits per type and profile counts, summed over the commits of a pull request.
+
+    All commits up to the cap are scored; ``commits_count`` is the number of distinct ones.
+    """
+    rows = cap_commits(commits.select(*key, POSITION, "sha", "message"), key, cap).withColumn(
+        "_text", F.lower(F.col("message"))
+    )
     hits = rows.select(
         *key,
+        "sha",
         *[
             S.commit_hits(F.col("_text"), typed.commit_patterns).alias(f"commit_{name}")
             for name, typed in rules.types.items()
@@ -57,6 +66,7 @@ def _commit_points(
         *[F.sum(f"commit_{name}").alias(f"commit_{name}") for name in rules.types],
         *[F.count_if(F.col(name)).alias(f"{name}_commits") for name in _PROFILE],
         F.count(F.lit(1)).alias("total_commits"),
+        F.size(F.collect_set("sha")).alias("commits_count"),
     )
 
 
@@ -151,13 +161,13 @@ def score_pull_requests(
     """Add ``points_*``, ``change_type``, ``change_type_confidence`` and ``reason_count``.
 
     The body is dropped as soon as its points are known, so long texts are never joined.
-    ``commits_count`` is the number of commits that were looked at.
+    ``commits_count`` is the number of distinct commits among those that were looked at.
     ``similarity`` has the key columns and one cosine column ``similarity_*`` per type.
     """
     own = _own_text(prs, rules).drop("body", "_labels", "_keywords")
     names = list(rules.types)
     filled = [f"commit_{n}" for n in names] + [f"{p}_commits" for p in _PROFILE]
-    filled.append("total_commits")
+    filled += ["total_commits", "commits_count"]
     if commits is None:
         own = own.withColumns({name: F.lit(0) for name in filled})
     else:
@@ -173,7 +183,7 @@ def score_pull_requests(
         "change_type",
         "change_type_confidence",
         "reason_count",
-        F.col("total_commits").cast("bigint").alias("commits_count"),
+        F.col("commits_count").cast("bigint").alias("commits_count"),
     )
 
 
@@ -295,9 +305,7 @@ def count_rule_hits(
         X.lower_or_empty(F.col("title")).alias("_title"),
         X.lower_or_empty(F.col("body")).alias("_body"),
     ).select("_title", F.concat_ws(" ", "_title", "_body").alias("_combined"))
-    messages = last_commits(
-        cap_commits(commits.select(*key, POSITION, "sha", "message"), key, cap), key
-    )
+    messages = cap_commits(commits.select(*key, POSITION, "message"), key, cap)
     one = F.lit(1).cast("bigint").alias("_n")
     codes = {
         "label": each(names, ["_n"], S.label_codes(F.col("_name"), rules), "code"),

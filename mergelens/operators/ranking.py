@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergelens.session import cut_lineage
 
-# Spark prunes each map task to the first N rows per group for limits up to this value
-# (spark.sql.optimizer.windowGroupLimitThreshold), so a hot group shrinks before the shuffle.
-GROUP_LIMIT_MAX = 1000
-# A group up to this size is numbered by one task; larger ones are split by range.
-MAX_GROUP_ROWS = 2_000_000
+# Spark prunes each map task to the first n rows of a group for limits up to this setting.
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _allow_group_limit(spark: SparkSession, n: int) -> None:
+    if int(spark.conf.get(_GROUP_LIMIT, "1000")) < n:
+        spark.conf.set(_GROUP_LIMIT, str(n))
 
 
 def first_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
 ) -> DataFrame:
-    """The first ``n`` rows per group, numbered from 1 in ``rank``."""
-    if n > GROUP_LIMIT_MAX:
-        return row_positions(df, keys, order, rank).filter(F.col(rank) <= n)
+    """The first ``n`` rows per group, numbered from 1 in ``rank`` (a bigint).
+
+    For any ``n`` map tasks send no more than n rows of a group; pass narrow rows and join the
+    wide ones to the result.
+    """
+    _allow_group_limit(df.sparkSession, n)
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    kept = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    return kept.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -32,29 +37,17 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 
 def row_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    rank: str = "rank",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str = "rank"
 ) -> DataFrame:
     """Number the rows of each group from 1; ``order`` must be total within a group.
 
-    Group sizes are counted first (a small, pre-aggregated job). When the largest group fits one
-    task a plain window does the work. Otherwise the rows are split by range of (group, order),
-    each range is numbered on its own, and the counts of earlier ranges of the group are added.
-    The split is checkpointed so that counts and rows always see the same ranges.
+    Rows are split by range of (group, order), each range is numbered on its own, and the counts
+    of earlier ranges of the group are added, so a group of any size is spread over tasks. The
+    split is checkpointed, so that counts and rows see the same ranges; pass narrow rows.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).count().agg(
-        F.max("count").alias("largest"), F.sum("count").alias("total")
-    ).first()
-    if (sizes["largest"] or 0) <= max_group_rows:
-        return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    ranges = math.ceil(sizes["total"] / max_group_rows)
     ranged = cut_lineage(
-        df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order).withColumn(
+        df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn(
             "_range", F.spark_partition_id()
         )
     )

@@ -100,6 +100,8 @@ SELECT l_orderkey AS pr_number,
   strftime(l_shipdate, {_DAY}) AS date
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
 
+PARTS["fx_capped_commit"] = "SELECT * FROM fx_commit WHERE pos <= 100"
+
 PARTS["fx_last_commit"] = """
 SELECT * FROM fx_commit WHERE pos <= 100
 QUALIFY row_number() OVER (PARTITION BY pr_number, sha ORDER BY pos DESC) = 1"""
@@ -189,7 +191,7 @@ FROM (SELECT pr_number, title, lower(title) || ' ' || lower(coalesce(body, ''))
 UNION ALL
 SELECT pr_number, change_type, source, pattern, {R.COMMIT_POINTS},
   'Commit pattern ''' || pattern || ''' matches ' || change_type
-FROM fx_last_commit JOIN rules
+FROM fx_capped_commit JOIN rules
   ON source = 'commit' AND regexp_matches(lower(message), pattern)"""
 
 
@@ -225,7 +227,7 @@ SELECT pr_number, {counted(R.URGENT_WORDS)} AS urgent_commits,
 FROM {source} GROUP BY pr_number"""
 
 
-PARTS["profile"] = _profile_of("fx_last_commit")
+PARTS["profile"] = _profile_of("fx_capped_commit")
 
 PARTS["profile_matches"] = f"""
 SELECT pr_number, 'fix' AS change_type, {R.URGENT_POINTS} AS points,
@@ -315,7 +317,7 @@ GROUP BY {key}"""
 PARTS["pr_text"] = """
 SELECT p.pr_number, title || ' ' || coalesce(body, '') || ' ' || coalesce(m.messages, '') AS text
 FROM fx_pr p LEFT JOIN (
-  SELECT pr_number, string_agg(message, ' ' ORDER BY pos) AS messages FROM fx_last_commit
+  SELECT pr_number, string_agg(message, ' ' ORDER BY pos) AS messages FROM fx_capped_commit
   GROUP BY pr_number) m ON p.pr_number = m.pr_number"""
 PARTS["pr_terms"] = _terms_of("pr_text", "pr_number")
 PARTS["pr_cosine"] = _cosine_of("pr_terms", "pr_number")
@@ -519,7 +521,7 @@ SELECT id, CASE
     OR {_any("lower(coalesce(body, ''))", R.BASIC_DOC_WORDS)} THEN 'doc'
   ELSE 'feature' END AS change_type, CAST({R.BASIC_CONFIDENCE} AS DOUBLE)
   AS change_type_confidence FROM fx_pr""",
-    "commit_profile": _profile_of("fx_commit"),
+    "commit_profile": _profile_of("fx_capped_commit"),
     "similarity": f"""
 SELECT p.pr_number, {_ROUNDED} FROM fx_head p LEFT JOIN pr_cosine c ON p.pr_number = c.pr_number
 """,

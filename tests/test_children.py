@@ -20,7 +20,17 @@ def test_last_commit_of_a_sha_wins(spark):
     )
     nested = C.nest_commits(commits, PR).first()
     assert {k: v.commit_message for k, v in nested.commits.items()} == {"a": "new", "b": "b"}
-    assert nested.commit_messages == ["b", "new"]
+    assert nested.commit_messages == ["old", "b", "new"]
+
+
+def test_commits_without_sha_stay_out_of_the_map(spark):
+    commits = spark.createDataFrame(
+        [(1, 1, None, "no sha", "x", "d"), (1, 2, "b", "b", "x", "d"), (2, 1, None, "c", "x", "d")],
+        COMMIT,
+    )
+    nested = {r.pr_number: r for r in C.nest_commits(commits, PR).collect()}
+    assert set(nested[1].commits) == {"b"} and nested[2].commits == {}
+    assert nested[1].commit_messages == ["no sha", "b"]
 
 
 def test_cap_comes_before_last_wins(spark):

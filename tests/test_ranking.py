@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mergelens.operators.ranking import first_n, first_row, row_positions
@@ -24,18 +25,20 @@ def skewed(spark):
     )
 
 
-def test_range_split_equals_window(skewed):
+def test_positions_equal_a_window(skewed):
     order = [F.col("o").desc(), F.col("id").asc()]
-    plain = row_positions(skewed, ["g"], order)
-    split = row_positions(skewed, ["g"], order, max_group_rows=2000)
+    window = Window.partitionBy("g").orderBy(*order)
+    plain = skewed.withColumn("rank", F.row_number().over(window).cast("bigint"))
+    split = row_positions(skewed, ["g"], order)
+    assert split.schema == plain.schema or split.dtypes == plain.dtypes
     assert rows(plain) == rows(split)
 
 
-def test_range_split_spreads_the_hot_group(spark, skewed):
+def test_positions_spread_the_hot_group(spark, skewed):
     coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(coalesce, "false")
     try:
-        split = row_positions(skewed, ["g"], [F.col("o").asc()], max_group_rows=2000)
+        split = row_positions(skewed, ["g"], [F.col("o").asc()])
         sizes = split.filter("g = 'hot'").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set(coalesce, "true")
@@ -44,8 +47,13 @@ def test_range_split_spreads_the_hot_group(spark, skewed):
 
 def test_null_group(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1)], "g string, o int")
-    split = row_positions(df, ["g"], [F.col("o").asc()], max_group_rows=1)
-    assert rows(split) == rows(row_positions(df, ["g"], [F.col("o").asc()]))
+    assert rows(row_positions(df, ["g"], [F.col("o").asc()])) == [("a", 1, 1), (None, 1, 1), (None, 2, 2)]
+
+
+def test_rank_has_one_type(skewed):
+    order = [F.col("o").asc()]
+    for ranked in (first_n(skewed, ["g"], order, 3), first_n(skewed, ["g"], order, 100_000), row_positions(skewed, ["g"], order)):
+        assert dict(ranked.dtypes)["rank"] == "bigint"
 
 
 def test_first_n_prunes_before_the_shuffle(skewed):
@@ -54,8 +62,9 @@ def test_first_n_prunes_before_the_shuffle(skewed):
     assert limited.groupBy("g").count().agg(F.max("count")).first()[0] == 3
 
 
-def test_large_n_uses_positions(skewed):
+def test_large_n_prunes_too(skewed):
     few = first_n(skewed, ["g"], [F.col("o").asc()], 1500)
+    assert "WindowGroupLimit" in plan_text(few)
     exact = skewed.groupBy("g").count().select(F.least("count", F.lit(1500)).alias("n"))
     assert few.count() == exact.agg(F.sum("n")).first()[0]
 
