@@ -127,63 +127,69 @@ def _non_empty(items: Column) -> Column:
     return F.coalesce(F.when(items.isNotNull(), F.size(items) > 0), F.lit(False))
 
 
+def _has(df: DataFrame, name: str, value: Column) -> Column:
+    """Whether a kept column has content: a non-empty text, array or map, any other non-null."""
+    kind = dict(df.dtypes)[name]
+    if kind.startswith(("array", "map")):
+        return _non_empty(value)
+    if kind == "string":
+        return F.coalesce(value, F.lit("")) != ""
+    return value.isNotNull()
+
+
 def merge_snapshots(
     old: DataFrame,
     new: DataFrame,
     key: Sequence[str] = KEY,
     components: Sequence[str] = ("commits", "pr_comments", "files"),
-    kept: Mapping[str, str] | None = None,
+    kept: Mapping[str, Sequence[str]] | None = None,
+    how: str = "full_outer",
 ) -> DataFrame:
     """Component-wise upsert of ``new`` into ``old``; both hold one row per key.
 
-    A component comes from the new row unless it is empty there. Columns of ``kept`` stay as they
-    are in the old row when it has them (``value`` by null or empty text, ``array`` by emptiness).
-    All other columns come from the new row, or from the old one where there is no new row.
+    A component comes from the new row unless it is empty there. A column of ``kept`` stays as it is
+    in the old row when it has content there, and the columns listed with it stay with it; else all
+    of them come from the new row. All other columns come from the new row, or from the old one
+    where there is no new row; with ``how="right_outer"`` only keys of ``new`` are kept.
     """
-    kept = dict(kept or {})
+    kept = {name: tuple(others) for name, others in (kept or {}).items()}
+    leader = {other: name for name, others in kept.items() for other in (name, *others)}
     columns = [c for c in new.columns if c not in key]
     left = old.select(*key, F.struct(*[c for c in old.columns if c not in key]).alias("_old"))
     right = new.select(*key, F.struct(*columns).alias("_new"))
-    both = left.join(right, list(key), "full_outer")
+    both = left.join(right, list(key), how)
 
     def merged(name: str) -> Column:
         before, after = F.col("_old")[name], F.col("_new")[name]
         if name in components:
             return F.when(_non_empty(after), after).otherwise(F.coalesce(before, after))
-        if kept.get(name) == "array":
-            return F.when(_non_empty(before), before).otherwise(after)
-        if kept.get(name) == "value":
-            return F.when(before.isNotNull() & (before.cast("string") != ""), before).otherwise(
-                after
-            )
+        if name in leader:
+            first = leader[name]
+            return F.when(_has(old, first, F.col("_old")[first]), before).otherwise(after)
         return F.when(F.col("_new").isNotNull(), after).otherwise(before)
 
     return both.select(*key, *[merged(name).alias(name) for name in columns])
 
 
-def merge_records(old: DataFrame, new: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+#: An earlier change type is reused with what explains it, and so are earlier tags.
+REUSED = {"change_type": ("change_type_confidence", "change_type_reasons"), "tags": ()}
+
+
+def merge_records(
+    old: DataFrame, new: DataFrame, key: Sequence[str] = KEY, how: str = "full_outer"
+) -> DataFrame:
     """``merge_snapshots`` for full records: an earlier change type and earlier tags are reused."""
-    reused = F.coalesce(F.col("change_type"), F.lit("")) != ""
     prepared = old.withColumns(
         {
-            "change_type_confidence": F.when(
-                reused, F.coalesce(F.col("change_type_confidence"), F.lit(BASIC_CONFIDENCE))
+            "change_type_confidence": F.coalesce(
+                F.col("change_type_confidence"), F.lit(BASIC_CONFIDENCE)
             ),
-            "change_type_reasons": F.when(
-                reused,
-                F.coalesce(F.col("change_type_reasons"), F.array(F.lit(REASON_REUSED))),
+            "change_type_reasons": F.coalesce(
+                F.col("change_type_reasons"), F.array(F.lit(REASON_REUSED))
             ),
-            "change_type": F.when(reused, F.col("change_type")),
         }
     )
-    merged = merge_snapshots(
-        prepared,
-        new,
-        key,
-        kept={"change_type": "value", "change_type_confidence": "value", "tags": "array",
-              "change_type_reasons": "array"},
-    )
-    return merged.select(*old.columns)
+    return merge_snapshots(prepared, new, key, kept=REUSED, how=how).select(*old.columns)
 
 
 def merge_history(
@@ -191,36 +197,48 @@ def merge_history(
     order: Column,
     key: Sequence[str] = KEY,
     components: Sequence[str] = ("commits", "pr_comments", "files"),
-    kept: Sequence[str] = (),
+    kept: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """``merge_snapshots`` over any number of snapshots at once, oldest to newest by ``order``.
 
-    A component is the newest non-empty one, a kept column the oldest non-null one, every other
-    column that of the newest row. It is one aggregation, so a key with many snapshots shrinks
-    before the shuffle and late files cannot overwrite newer content.
+    A component is the newest non-empty one (without any, the newest that is not null), a kept
+    column and those listed with it the oldest with content (without any, the newest), every other
+    column that of the newest row. ``order`` must be total within a key, such as a struct of time,
+    file and position; then arrival does not matter and late files cannot overwrite newer content.
+    It is one aggregation, so a key with many snapshots shrinks before the shuffle.
     """
-    others = [c for c in records.columns if c not in (*key, *components, *kept)]
+    kept = {name: tuple(others) for name, others in (kept or {}).items()}
+    led = [other for name, others in kept.items() for other in (name, *others)]
+    others = [c for c in records.columns if c not in (*key, *components, *led)]
     rows = keyed(records, key).withColumn("_order", order)
+    when = F.col("_order")
     merged = rows.groupBy(*key).agg(
-        F.max_by(F.struct(*others), "_order").alias("_newest"),
+        F.max_by(F.struct(*others), when).alias("_newest"),
         *[
             F.coalesce(
-                F.max_by(F.col(name), F.when(_non_empty(F.col(name)), F.col("_order"))),
-                F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col("_order"))),
+                F.max_by(F.col(name), F.when(_non_empty(F.col(name)), when)),
+                F.max_by(F.col(name), F.when(F.col(name).isNotNull(), when)),
             ).alias(name)
             for name in components
         ],
         *[
-            F.min_by(F.col(name), F.when(F.col(name).isNotNull(), F.col("_order"))).alias(name)
-            for name in kept
+            F.coalesce(
+                F.min_by(
+                    F.struct(name, *with_it), F.when(_has(records, name, F.col(name)), when)
+                ),
+                F.max_by(F.struct(name, *with_it), when),
+            ).alias(f"_{name}")
+            for name, with_it in kept.items()
         ],
     )
-    return merged.select(
-        *[
-            F.col("_newest")[name].alias(name) if name in others else F.col(name)
-            for name in records.columns
-        ]
-    )
+    leader = {other: name for name, with_it in kept.items() for other in (name, *with_it)}
+
+    def found(name: str) -> Column:
+        if name in leader:
+            return F.col(f"_{leader[name]}")[name].alias(name)
+        return F.col("_newest")[name].alias(name) if name in others else F.col(name)
+
+    return merged.select(*[found(name) for name in records.columns])
 
 
 def fold_state(rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

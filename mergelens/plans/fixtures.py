@@ -75,13 +75,15 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def spread(self, name: str, *key: str) -> DataFrame:
-        """A table for heavy per-row work: fewer files than cores are spread over the cores.
+        """A table for heavy per-row work, dealt to more tasks if its scan has fewer than cores.
 
-        ``key`` should be unique, so that a value that repeats often does not fill one task.
+        Large files are split by the scan itself and stay as they are. ``key`` should be unique,
+        so that a value that repeats often does not fill one task.
         """
         table = self.table(name)
         cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores, *key) if len(table.inputFiles()) < cores else table
+        tasks = table._jdf.queryExecution().toRdd().getNumPartitions()
+        return table.repartition(cores, *key) if tasks < cores else table
 
     def _lines(self) -> DataFrame:
         return self.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

@@ -560,7 +560,7 @@ def snapshot_merge(fx: Fixtures) -> DataFrame:
     """The third file merged into the merge of the first two."""
     parts = fx.snapshot_components()
     held = [parts.filter(F.col("snap") == number) for number in (1, 2, 3)]
-    kept = {"change_type": "value"}
+    kept = {"change_type": ()}
     earlier = snapshots.merge_snapshots(held[0], held[1], kept=kept)
     return _merged_columns(snapshots.merge_snapshots(earlier, held[2], kept=kept))
 
@@ -570,7 +570,7 @@ def snapshot_history(fx: Fixtures) -> DataFrame:
     """The same merge over all files in one aggregation."""
     return _merged_columns(
         snapshots.merge_history(
-            fx.snapshot_components(), F.col("mtime"), kept=("change_type",)
+            fx.snapshot_components(), F.struct("mtime", "snap"), kept={"change_type": ()}
         )
     )
 
@@ -775,7 +775,9 @@ def stream_upsert(fx: Fixtures) -> DataFrame:
     target, checkpoint = new_dir(fx.spark, "upsert"), new_dir(fx.spark, "upsert-checkpoint")
     stream = _landed_stream(fx, fx.snapshot_components())
     ingest.run_to_end(ingest.start_append(stream, target, checkpoint))
-    merged = ingest.current_merge(fx.spark, target, F.col("mtime"), kept=("change_type",))
+    merged = ingest.current_merge(
+        fx.spark, target, F.struct("mtime", "snap"), kept={"change_type": ()}
+    )
     return _merged_columns(merged)
 
 

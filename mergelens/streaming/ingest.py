@@ -8,8 +8,9 @@ folders into one when there are many.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -106,7 +107,7 @@ def current_merge(
     order: Column,
     key: Sequence[str] = KEY,
     components: Sequence[str] = ("commits", "pr_comments", "files"),
-    kept: Sequence[str] = (),
+    kept: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Component-wise merge over all batches so far."""
     rows = read_batches(spark, target).drop("batch_id")
@@ -114,8 +115,15 @@ def current_merge(
 
 
 def current_state(spark: SparkSession, target: str, key: Sequence[str] = KEY) -> DataFrame:
-    """State per key over all written updates (flags only ever turn on)."""
-    rows = read_batches(spark, target).select(*key, *FLAGS, "timestamp")
+    """State per key over all written updates (flags only ever turn on); empty before the first."""
+    columns = [*key, *FLAGS, "timestamp"]
+    try:
+        rows = read_batches(spark, target).select(*columns)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kinds = [f"{c} boolean" if c in FLAGS else f"{c} string" for c in columns]
+        rows = spark.createDataFrame([], ", ".join(kinds))
     return fold_state(rows, key)
 
 

@@ -25,7 +25,7 @@ def test_merge_takes_new_components_unless_empty(spark):
     old = _parts(spark, [("r", "1", 1, {"a": "x"}, [1], [1], "old", "fix")])
     new = _parts(spark, [("r", "1", 2, {}, [2], None, "new", "doc"),
                          ("r", "2", 2, {"b": "y"}, [], [], "n", "doc")])
-    merged = rows(S.merge_snapshots(old, new, kept={"change_type": "value"}))
+    merged = rows(S.merge_snapshots(old, new, kept={"change_type": ()}))
     assert merged == [
         ("r", "1", 2, {"a": "x"}, [2], [1], "new", "fix"),
         ("r", "2", 2, {"b": "y"}, [], [], "n", "doc"),
@@ -58,9 +58,9 @@ def test_history_equals_pairwise_merges(spark, files):
     ]
     pairwise, union = frames[0], frames[0]
     for frame in frames[1:]:
-        pairwise = S.merge_snapshots(pairwise, frame, kept={"change_type": "value"})
+        pairwise = S.merge_snapshots(pairwise, frame, kept={"change_type": ()})
         union = union.unionByName(frame)
-    history = S.merge_history(union, F.col("mtime"), kept=("change_type",))
+    history = S.merge_history(union, F.col("mtime"), kept={"change_type": ()})
     assert rows(history) == rows(pairwise)
 
 
@@ -101,6 +101,32 @@ def test_presence_by_key_and_by_content(spark):
     assert rows(stats.with_presence(df, "nonempty"), *flags) == [(False, False, True)]
 
 
+def test_both_merges_agree_on_ties_empty_texts_and_arrays(spark):
+    """Equal times are told apart by file; a type brings its confidence and reasons along."""
+    schema = (
+        "repository_name string, id string, mtime int, file string, commits array<int>, "
+        "pr_comments array<int>, files array<int>, change_type string, "
+        "change_type_confidence double, change_type_reasons array<string>, title string"
+    )
+    data = [
+        [("r", "1", 1, "a", [1], [], None, "", 0.1, ["x"], "t1"), ("r", "2", 1, "a", [], None, [5], "fix", None, [], "u1")],
+        [("r", "1", 1, "b", [], [], None, "doc", 0.7, [], "t2"), ("r", "2", 1, "b", [2], [], [], "doc", 0.9, ["y"], None)],
+        [("r", "1", 1, "c", [3], [4], [], "fix", 0.9, ["z"], "t3"), ("r", "3", 2, "c", None, None, None, None, None, None, "v")],
+    ]
+    kept = {"change_type": ("change_type_confidence", "change_type_reasons")}
+    parts = [spark.createDataFrame(d, schema) for d in data]
+    pairwise = S.merge_snapshots(S.merge_snapshots(parts[0], parts[1], kept=kept), parts[2], kept=kept)
+    union = parts[2].unionByName(parts[0]).unionByName(parts[1])
+    for shuffled in (union, union.orderBy(F.col("title").desc())):
+        history = S.merge_history(shuffled, F.struct("mtime", "file"), kept=kept)
+        assert rows(history.select(*pairwise.columns)) == rows(pairwise)
+    first = pairwise.filter("id = '1'").first()
+    assert (first.change_type, first.change_type_confidence, first.change_type_reasons) == ("doc", 0.7, [])
+    old, new = parts[1].limit(1).drop("mtime", "file"), parts[2].drop("mtime", "file")
+    only_new = S.merge_records(old.filter("id = '1'"), new, how="right_outer")
+    assert {r.id for r in only_new.collect()} == {r.id for r in new.collect()}
+
+
 STATE = (
     "repository_name string, id string, has_commits boolean, has_comments boolean, "
     "has_files boolean, timestamp string"
