@@ -152,3 +152,85 @@ def test_assembled_records_agree_with_stats(spark, landing, tmp_path):
     flat = stats.with_measures(extraction.stored_records(spark, out))
     assert stats.totals(flat).first().total_commits == 3
     assert flat.agg(F.sum("additions")).first()[0] == 2
+
+
+def _land(spark, root, pages):
+    for name in ("repositories", "languages", "pull_requests", "commits", "issue_comments",
+                 "review_comments", "files"):
+        rows_of = [(f, n, p, b if b is None or isinstance(b, str) else json.dumps(b))
+                   for f, n, p, b in pages.get(name, [])]
+        spark.createDataFrame(rows_of, KEYS).write.mode("overwrite").parquet(f"{root}/{name}")
+    return root
+
+
+REPO = {"name": "r", "full_name": "o/r", "html_url": "h", "stargazers_count": 5, "forks_count": 1,
+        "description": None, "size": 100, "fork": False, "archived": False, "created_at": "c",
+        "updated_at": "u", "pulls_url": "p"}
+FILE = {"filename": "f", "status": "added", "additions": 2, "deletions": 1, "changes": 3, "patch": "x"}
+
+
+def test_repeated_pages_count_once(spark, tmp_path):
+    """A pull request on two pages, a repository listed twice, two language pages."""
+    root = _land(spark, str(tmp_path / "in"), {
+        "repositories": [(None, None, 1, {"items": [REPO]}),
+                         (None, None, 2, {"items": [{**REPO, "stargazers_count": 7}]})],
+        "languages": [("o/r", None, 1, {"Go": 1}), ("o/r", None, 2, {"C": 1})],
+        "pull_requests": [("o/r", None, 1, [_pr(1), _pr(2)]),
+                          ("o/r", None, 2, [_pr(2, title="later"), _pr(3)])],
+    })
+    records, rejects = extraction.extract(
+        spark, root, extraction.stored_records(spark, str(tmp_path / "none")), ExtractionConfig())
+    found = rows(records.select("id", "title", "repository_stars", "repository_language"))
+    assert found == [(f"o/r_{n}", f"Fix bug {n}", 5, ["Go"]) for n in (1, 2, 3)]
+    assert rejects.isEmpty()
+
+
+def test_cut_pages_and_nameless_children_are_rejected(spark, tmp_path):
+    cut = json.dumps([_commit("z")])[:25]
+    root, out = _land(spark, str(tmp_path / "in"), {
+        "repositories": [(None, None, 1, {"items": [REPO]}), (None, None, 2, '{"items": [{"na')],
+        "languages": [("o/r", None, 1, {"Go": 1})],
+        "pull_requests": [("o/r", None, 1, [_pr(1), {**_pr(2), "number": None}])],
+        "commits": [("o/r", 1, 1, [_commit(None, "fix"), _commit("b", "wip")]), ("o/r", 1, 2, cut),
+                    ("o/r", 1, 3, None)],
+        "files": [("o/r", 1, 1, [{**FILE, "filename": None}, FILE])],
+        "issue_comments": [("o/r", 1, 1, [{"id": None, "body": "b", "user": None, "created_at": "d"}])],
+    }), str(tmp_path / "out")
+    extraction.run_extraction(spark, root, out, "run1", ExtractionConfig())
+    (record,) = extraction.stored_records(spark, out).collect()
+    assert (list(record.commits), [f.filename for f in record.files]) == (["b"], ["f"])
+    assert record.pr_comments == []
+    assert record.change_type_reasons.count("Commit pattern '\\bfix\\b' matches fix") == 1
+    rejects = spark.read.json(f"{out}/rejects")
+    assert rows(rejects, "listing", "page", "reject_reason") == [
+        ("commits", "1", "missing sha"), ("commits", "2", "unreadable page"),
+        ("files", "1", "missing filename"), ("issue_comments", "1", "missing id"),
+        ("pull_requests", None, "missing number"), ("repositories", "2", "unreadable page")]
+
+
+def test_equal_runs_end_and_empty_components_are_not_asked_again(spark, landing, tmp_path):
+    out = str(tmp_path)
+    config = ExtractionConfig()
+    extraction.run_extraction(spark, landing, out, "run1", replace(config, include_file_diffs=False))
+    for run, written in (("run2", 3), ("run3", 0)):
+        target = extraction.run_extraction(spark, landing, out, run, config)
+        assert sum(1 for _ in Path(target).rglob("*.parquet")) == 0 or (
+            spark.read.parquet(target).count() == written)
+        stored = spark.read.parquet(f"{out}/records").filter(F.col("run") == run)
+        assert stored.count() == written
+
+
+def test_minimum_of_files_counts_stored_ones(spark, tmp_path):
+    """A run that fetches comments only keeps them, because the files are stored already."""
+    pages = {
+        "repositories": [(None, None, 1, {"items": [REPO]})],
+        "pull_requests": [("o/r", None, 1, [_pr(1)])],
+        "files": [("o/r", 1, 1, [FILE])],
+        "issue_comments": [("o/r", 1, 1, [{"id": 1, "body": "b", "user": None, "created_at": "d"}])],
+    }
+    root, out = _land(spark, str(tmp_path / "in"), pages), str(tmp_path / "out")
+    config = ExtractionConfig(min_changed_files=1)
+    extraction.run_extraction(spark, root, out, "run1", replace(config, include_comments=False))
+    extraction.run_extraction(spark, root, out, "run2", replace(config, include_file_diffs=False))
+    (record,) = extraction.stored_records(spark, out).collect()
+    assert (len(record.pr_comments), len(record.files)) == (1, 1)
