@@ -26,10 +26,12 @@ def distinct_report(records: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_results(spark: SparkSession, path: str, file_format: str, named: bool) -> DataFrame:
-    """Records of envelope files, or of Parquet or JSON lines with one record per row."""
+    """Records of envelope or indented files, or of Parquet or JSON lines with one record per row."""
+    pattern = E.ENVELOPE_PATTERN if named else None
+    if file_format == "indented":
+        return E.read_indented(spark, path, name_pattern=pattern)[0]
     if file_format != "envelope":
         return E.read_records(spark, path, file_format)
-    pattern = E.ENVELOPE_PATTERN if named else None
     return E.records(E.read_envelopes(spark, path, name_pattern=pattern))
 
 

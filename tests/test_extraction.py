@@ -140,6 +140,7 @@ def test_command_line(spark, landing, tmp_path, capsys):
     cli.main(["extract", landing, out, "run1", "--settings", '{"top_n_repositories": 1}'])
     cli.main(["coverage", f"{out}/records", "--format", "parquet", "--save", str(tmp_path / "r")])
     assert "change_types" in capsys.readouterr().out
+    assert spark.read.json(f"{out}/data/run=run1").count() == 1
     assert spark.read.json(str(tmp_path / "r" / "coverage")).first()["total_prs"] == 1
 
 

@@ -94,9 +94,36 @@ def test_commits_are_read_as_a_map(files):
     assert record.files[0].patch == "ü"
 
 
-def test_large_envelopes_are_refused(spark, folder):
-    with pytest.raises(E.EnvelopeTooLarge, match="JSON lines or Parquet"):
-        E.read_envelopes(spark, folder, max_bytes=100)
+def test_indented_files_are_read_record_by_record(spark, folder, files):
+    records, rejects = E.read_indented(spark, folder)
+    plain = E.records(files)
+    columns = [c for c in plain.columns if c not in ("pos", "commits")]
+    cut = "file <> 'enhanced_pr_data_cut.json'"
+    assert rows(records.filter(cut).select(*columns)) == rows(plain.select(*columns))
+    assert rows(rejects) == [
+        ("enhanced_pr_data_cut.json", "unreadable record"),
+        ("enhanced_pr_data_lfs.json", "unreadable record")]
+    named, _ = E.read_indented(spark, folder, name_pattern=E.ENVELOPE_PATTERN)
+    assert named.count() == records.count() - 1
+
+
+def test_one_large_indented_file_is_split(spark, tmp_path):
+    text = json.dumps({"metadata": {"extraction_timestamp": "t", "configuration": {"a": {}}},
+                       "data": [_record(n, title=f"x \\n    }},\\n    {{ {n}") for n in range(400)]}, indent=2)
+    (tmp_path / "enhanced_pr_data_x.json").write_text(text)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16k")
+    try:
+        records, rejects = E.read_indented(spark, str(tmp_path))
+        assert records.select(F.spark_partition_id()).distinct().count() > 5
+        in_order = records.orderBy("pos").select("pr_number", "timestamp", "title").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert [r.pr_number for r in in_order] == list(range(400))
+    assert {r.timestamp for r in in_order} == {"t"}
+    assert in_order[7].title == "x \\n    },\\n    { 7"
+    assert rejects.isEmpty()
 
 
 def _pages(spark, *bodies):
