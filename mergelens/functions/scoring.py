@@ -154,13 +154,24 @@ def profile_count(messages: Column, word_list: str) -> Column:
     return F.size(F.filter(messages, lambda message: commit_profile_flags(message)[word_list]))
 
 
-def metadata_flags(title: Column, body: Column, combined: Column) -> dict[str, Column]:
-    """Short fix title, long description, documentation words."""
+def _found(words: tuple[str, ...], text: Column, codes: Column, rules: RuleSet, title: bool) -> Column:
+    """Whether a text has any of the words, read off the keyword codes where these have them."""
+    numbers = {keyword: 2 * i for i, keyword in enumerate(_all_keywords(rules))}
+    if any(word not in numbers for word in words):
+        return X.contains_any(text, words)
+    wanted = [numbers[w] + place for w in words for place in ((1,) if title else (0, 1))]
+    return F.arrays_overlap(codes, F.array(*map(F.lit, wanted)))
+
+
+def metadata_flags(
+    title: Column, body: Column, combined: Column, codes: Column, rules: RuleSet
+) -> dict[str, Column]:
+    """Short fix title, long description, documentation words; ``codes`` of ``keyword_codes``."""
     return {
         "short_title": ~X.more_words_than(title, R.SHORT_TITLE_WORDS)
-        & X.contains_any(title, R.SHORT_TITLE_FIX_WORDS),
+        & _found(R.SHORT_TITLE_FIX_WORDS, title, codes, rules, True),
         "long_body": X.more_words_than(body, R.LONG_BODY_WORDS),
-        "doc_words": X.contains_any(combined, R.DOC_WORDS),
+        "doc_words": _found(R.DOC_WORDS, combined, codes, rules, False),
     }
 
 

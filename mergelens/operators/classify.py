@@ -80,15 +80,10 @@ def _own_text(prs: DataFrame, rules: RuleSet) -> DataFrame:
         }
     ).withColumn("_combined", F.concat_ws(" ", "_title", "_body"))
     title, body, combined = F.col("_title"), F.col("_body"), F.col("_combined")
-    found = lowered.withColumns(
-        {
-            "_keywords": S.keyword_codes(title, combined, rules),
-            **{
-                f"_{name}": flag.cast("int")
-                for name, flag in S.metadata_flags(title, body, combined).items()
-            },
-        }
-    ).drop("_title", "_body", "_combined")
+    coded = lowered.withColumn("_keywords", S.keyword_codes(title, combined, rules))
+    flags = S.metadata_flags(title, body, combined, F.col("_keywords"), rules)
+    found = coded.withColumns({f"_{name}": flag.cast("int") for name, flag in flags.items()})
+    found = found.drop("_title", "_body", "_combined")
     hits: dict[str, Column] = {}
     for name, (in_title, anywhere) in S.keyword_counts(F.col("_keywords"), rules).items():
         hits[f"_label_{name}"] = S.label_hits(F.col("_labels"), rules.types[name].labels)

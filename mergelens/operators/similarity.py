@@ -181,25 +181,50 @@ def tfidf_weights(terms: DataFrame, vocabulary: DataFrame, key: Sequence[str]) -
 def cosine_to_prototypes(
     terms: DataFrame, vocabulary: DataFrame, prototypes: DataFrame, key: Sequence[str]
 ) -> DataFrame:
-    """One ``similarity_<name>`` column per prototype; keys without known terms get 0.
+    """One ``similarity_<name>`` column per prototype and row; rows without known terms get 0.
 
-    ``prototypes`` has ``name`` and ``terms``, a handful of rows made from a parameter.
+    ``prototypes`` has ``name`` and ``terms``, a handful of rows made from a parameter. Their weights
+    and the vocabulary (at most ``max_features`` terms) are constants of a row expression, so texts
+    are neither exploded nor shuffled.
     """
     names = [row["name"] for row in prototypes.select("name").collect()]
-    weights = (
-        tfidf_weights(prototypes, vocabulary, ["name"])
-        .groupBy("term")
-        .pivot("name", names)
-        .agg(F.first("weight"))
+    idf = {row["term"]: row["idf"] for row in vocabulary.select("term", "idf").collect()}
+    weights = {
+        (row["name"], row["term"]): row["weight"]
+        for row in tfidf_weights(prototypes, vocabulary, ["name"]).collect()
+    }
+    listed = sorted(idf)
+    if not listed:
+        return terms.select(*key, *[F.lit(0.0).alias(f"similarity_{name}") for name in names])
+
+    def constants(values: Sequence[str] | Sequence[float]) -> Column:
+        return F.array(*map(F.lit, values))
+
+    known = constants(listed)
+    places = F.filter(
+        F.transform("terms", lambda t: F.array_position(known, t)), lambda place: place > 0
     )
-    weighted = vocabulary.select("term", "idf").join(weights, "term", "left")
-    counts = _term_counts(terms, weighted, key)
-    raw = F.col("tf") * F.col("idf")
-    sums = counts.groupBy(*key).agg(
-        F.sqrt(F.sum(raw * raw)).alias("_norm"),
-        *[F.sum(raw * F.col(name)).alias(name) for name in names],
+    counted = F.transform(
+        F.array_distinct("_places"),
+        lambda place: F.struct(
+            place.cast("int").alias("place"),
+            (
+                F.size(F.filter("_places", lambda other: other == place))
+                * F.element_at(constants([idf[t] for t in listed]), place.cast("int"))
+            ).alias("raw"),
+        ),
     )
-    return sums.select(
+    rows = terms.select(*key, F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))
+    rows = rows.select(*key, places.alias("_places")).select(*key, counted.alias("_raw"))
+    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, r: acc + r["raw"] * r["raw"]))
+
+    def dot(name: str) -> Column:
+        own = constants([float(weights.get((name, t), 0.0)) for t in listed])
+        return F.aggregate(
+            "_raw", F.lit(0.0), lambda acc, r: acc + r["raw"] * F.element_at(own, r["place"])
+        )
+
+    return rows.select(*key, norm.alias("_norm"), *[dot(name).alias(name) for name in names]).select(
         *key,
         *[
             F.coalesce(F.col(name) / F.nullif(F.col("_norm"), F.lit(0.0)), F.lit(0.0)).alias(
