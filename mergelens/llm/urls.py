@@ -79,7 +79,7 @@ def judge(
     )
     addresses = rows.select("host", "path").distinct()
     filed = file_rules(spark, addresses, rules)
-    fetched = addresses.select("host", "path", F.explode(_tokens()).alias("token")).join(
+    fetched = addresses.select("host", "path", F.explode_outer(_tokens()).alias("token")).join(
         filed, "token"
     )
     fits = F.expr("regexp_like(concat(host, path), pattern)")
@@ -116,7 +116,7 @@ def file_rules(spark: SparkSession, addresses: DataFrame, rules: list[UrlRule])
     )
     used = listed.select("token").distinct()
     seen = (
-        addresses.select(F.explode(_tokens()).alias("token"))
+        addresses.select(F.explode_outer(_tokens()).alias("token"))
         .join(used, "token", "left_semi")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("seen"))
