@@ -26,8 +26,8 @@ def apply_per_repository(
 
     A list of dicts gives several rows, a dict gives one, anything falsy none. A call that raises
     gives one row with ``error`` set. The output has the key, the columns of ``schema`` and
-    ``error``. Calls are independent, so rows are spread over tasks, never grouped; set
-    ``partitions`` when few rows carry long calls.
+    ``error``. Calls are independent, so rows are dealt evenly to ``partitions`` tasks (by default as
+    many as the cluster runs at once), never grouped.
     """
     output = f"{key} string, {schema}, error string"
     arrow = to_arrow_schema(StructType.fromDDL(output))
@@ -46,8 +46,8 @@ def apply_per_repository(
             rows = [out for row in batch.to_pylist() for out in results(row)]
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    spread = repositories.repartition(partitions) if partitions else repositories
-    return spread.mapInArrow(run, output)
+    tasks = partitions or repositories.sparkSession.sparkContext.defaultParallelism
+    return repositories.repartition(tasks).mapInArrow(run, output)
 
 
 def split_errors(applied: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -25,6 +29,15 @@ def test_names_agree():
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
+def test_entry_works_without_the_subpackage():
+    code = (
+        "import sys; sys.modules.update({'mergelens.llm': None, 'corpus_pipeline': None})\n"
+        "import __spark_entry__ as e; from mergelens.plans.queries import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
     count, _, _ = compare(spark, duck, SF_SMALL, entry.queries()[name], entry.oracle_sql()[name])
