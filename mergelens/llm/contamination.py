@@ -31,17 +31,16 @@ def words_of(text: Column) -> Column:
     return F.filter(low, lambda w: w != "")
 
 
-def shingles(words: str, size: int) -> Column:
-    """The 64-bit hash of every run of ``size`` words of an array column, in order."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    runs = hashes
+def with_shingles(df: DataFrame, words: str, size: int, out: str) -> DataFrame:
+    """``df`` with the 64-bit hash of every run of ``size`` words of an array column, in order."""
+    ones = f"_{out}"
+    df = df.withColumn(ones, F.transform(words, lambda w: F.xxhash64(w)))
+    runs = F.col(ones)
     for offset in range(1, size):
-        runs = F.zip_with(
-            runs,
-            F.slice(F.transform(words, lambda w: F.xxhash64(w)), offset + 1, F.greatest(F.size(words), F.lit(1))),
-            lambda a, b: F.xxhash64(a, b),
-        )
-    return F.slice(runs, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+        later = F.slice(ones, offset + 1, F.greatest(F.size(ones), F.lit(1)))
+        runs = F.zip_with(runs, later, lambda a, b: F.xxhash64(a, b))
+    whole = F.slice(runs, 1, F.greatest(F.size(ones) - (size - 1), F.lit(0)))
+    return df.withColumn(out, whole).drop(ones)
 
 
 def item_shingles(benchmark: DataFrame, window: int) -> DataFrame:
@@ -60,9 +59,9 @@ def item_shingles(benchmark: DataFrame, window: int) -> DataFrame:
         .withColumn("size", F.least(F.size("words"), F.lit(SHINGLE)))
     )
     by_size = [
-        items.where(F.col("size") == size).select(
+        with_shingles(items.where(F.col("size") == size), "words", size, "hashes").select(
             "item", "part", "window", "size", "words",
-            F.posexplode(shingles("words", size)).alias("place", "hash"),
+            F.posexplode("hashes").alias("place", "hash"),
         )
         for size in range(1, SHINGLE + 1)
     ]
@@ -76,7 +75,8 @@ def shingle_hits(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Places of documents where a benchmark shingle stands: doc_id, at, size, hash, run.
 
     All words are hashed; only shingles of ``wanted`` go further, with their words. Sizes other
-    than the usual one are looked up only if the benchmark has such items.
+    than the usual one are looked up only if the benchmark has such items. Arrays are exploded in
+    the outer form: for the inner one Spark tests their size, and so computes them twice.
     """
     known = cut_lineage(wanted.select("size", "hash").distinct())
     counted = {r["size"]: r["n"] for r in known.groupBy("size").agg(F.count("*").alias("n")).collect()}
@@ -87,14 +87,16 @@ def shingle_hits(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     found = []
     for size in sorted(counted) or [SHINGLE]:
         own = known.where(F.col("size") == size).select("hash")
-        places = spoken.select(
-            "doc_id", "words", shingles("words", size).alias("hashes")
-        ).select("doc_id", "words", F.posexplode("hashes").alias("at", "hash"))
-        places = places.select(
-            "doc_id", "at", F.lit(size).alias("size"), "hash",
-            F.array_join(F.slice("words", F.col("at") + 1, size), " ").alias("run"),
+        places = with_shingles(spoken, "words", size, "hashes").select(
+            "doc_id", "words", F.posexplode_outer("hashes").alias("at", "hash")
+        )
+        hits = places.where(F.col("at").isNotNull()).join(F.broadcast(own) if small else own, "hash", "left_semi")
+        found.append(
+            hits.select(
+                "doc_id", "at", F.lit(size).alias("size"), "hash",
+                F.array_join(F.slice("words", F.col("at") + 1, size), " ").alias("run"),
+            )
         )
-        found.append(places.join(F.broadcast(own) if small else own, "hash", "left_semi"))
     return reduce(DataFrame.unionByName, found)
 
 
