@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from mergelens.llm.samples import hash_share
 from mergelens.llm.words import mixed
 
 #: A word, or a run of signs that are neither letters, digits nor white space.
@@ -28,7 +29,7 @@ class FtrlSettings:
     ``calibration``-th of them is kept from training, for the scale and bias of the scores."""
 
     bits: int = 18
-    sample: int = 10_000
+    sample: int = 6_000
     passes: int = 4
     calibration: int = 5
     alpha: float = 1.0
@@ -144,13 +145,15 @@ def fit_quality(
     the smaller label counts, and of an id with several texts the smallest text. Executors turn the
     texts into sparse vectors, so that the driver gets a bounded number of those only.
     """
+    place = F.xxhash64("doc_id")
     chosen = (
-        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+        hash_share(labels, place, labels.count(), settings.sample)
+        .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .where(~is_held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-        .withColumn("place", F.xxhash64("doc_id"))
+        .withColumn("place", place)
         .orderBy("place", "doc_id")
         .limit(settings.sample)
     )
@@ -165,20 +168,24 @@ def fit_quality(
                     batch.column("doc_id"),
                     batch.column("place"),
                     batch.column("quality").cast(pa.int32()),
-                    pa.array([b.tolist() for b, _ in made], pa.list_(pa.int32())),
-                    pa.array([v.astype(np.float32) for _, v in made], pa.list_(pa.float32())),
+                    pa.array([b.tobytes() for b, _ in made], pa.binary()),
+                    pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary()),
                 ],
                 names=["doc_id", "place", "quality", "buckets", "values"],
             )
 
-    schema = "doc_id long, place long, quality int, buckets array<int>, values array<float>"
-    rows = joined.mapInArrow(vectors, schema).toArrow().to_pandas()
-    rows["text_order"] = [tuple(b) for b in rows["buckets"]]
-    rows = rows.sort_values(["place", "doc_id", "text_order"]).drop_duplicates("doc_id")
+    schema = "doc_id long, place long, quality int, buckets binary, values binary"
+    found = joined.mapInArrow(vectors, schema).toArrow().to_pylist()
+    found.sort(key=lambda r: (r["place"], r["doc_id"], r["buckets"]))
+    first = [r for r, before in zip(found, [None, *found], strict=False) if not before or before["doc_id"] != r["doc_id"]]
     return train(
         [
-            (np.asarray(b), np.asarray(v, np.float64), int(q))
-            for b, v, q in zip(rows["buckets"], rows["values"], rows["quality"], strict=True)
+            (
+                np.frombuffer(r["buckets"], np.int32),
+                np.frombuffer(r["values"], np.float32).astype(np.float64),
+                r["quality"],
+            )
+            for r in first
         ],
         settings,
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 from hashlib import sha256
 
 import numpy as np
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from mergelens.llm.charnet import CharNet, NetSettings, codes
 from mergelens.llm.findings import Finding, labelled_findings
+from mergelens.llm.samples import hash_share
 
 #: The base kinds in the order in which spans of one start are listed (fixed values).
 KINDS = ("assign", "access", "hex", "model")
@@ -104,11 +104,14 @@ def _labels(findings: list[Finding]) -> np.ndarray:
 def weak_findings(docs: DataFrame, sample: int = 1_000, each: int = 2) -> list[Finding]:
     """Labelled findings of the corpus: base spans are secrets, other candidates are not.
 
-    At most ``sample`` documents with any are read (smallest hashes of id and text) and ``each``
-    findings of either label from one; this bounds what training sees, not what is scanned.
+    They come from about ``20 * sample`` documents, chosen by a hash of id and text; at most
+    ``sample`` of them with any findings count (the smallest hashes), and ``each`` findings of either
+    label from one. This bounds what training sees, not what is scanned.
     """
+    place = F.xxhash64("doc_id", "text")
     rows = (
-        docs.select(F.xxhash64("doc_id", "text").alias("place"), "text")
+        hash_share(docs, place, docs.count(), 5 * sample)
+        .select(place.alias("place"), "text")
         .mapInArrow(
             lambda batches: _weak_batches(batches, each),
             "place long, rank int, before string, value string, after string, secret boolean",
@@ -210,9 +213,3 @@ def scan_secrets(docs: DataFrame, model: SecretModel, keep: list[str]) -> DataFr
     for name in made:
         schema = schema.add(name, "long" if name.startswith("n_") else "string")
     return docs.select(*keep, "text").mapInArrow(scan, schema)
-
-
-@cache
-def default_model() -> SecretModel:
-    """The network trained on the labelled findings alone."""
-    return fit_secrets()
