@@ -16,7 +16,9 @@ from mergelens.llm.words import mixed
 _RUN = np.uint64(0xD6E8FEB86659FD93)
 _PAIR = np.uint64(0xA0761D6478BD642F)
 _BASE = 0x9E3779B97F4A7C15
-_SPAN_BITS = np.uint64(58)
+# Bits of a window's name: 5 for the span, 19 of the symbol's hash, 40 of the deciding words' hash.
+_SPAN_SHIFT, _NAME_SHIFT = np.uint64(59), np.uint64(40)
+_NAME_CUT, _AROUND_CUT = np.uint64(45), np.uint64(24)
 
 
 @dataclass
@@ -79,13 +81,14 @@ def name_pairs(s: Symbols, number: int, total: int) -> Symbols:
     return Symbols(names[kept], spans[kept], lows[kept], highs[kept])
 
 
-def window_names(hashes: np.ndarray, window: int, rounds: int = 3) -> np.ndarray:
+def window_names(hashes: np.ndarray, window: int, rounds: int = 2) -> np.ndarray:
     """For each window of words a name of something inside that the window alone decides on.
 
     It is the symbol of the highest round that has one decided by words of the window; of several
-    the one that covers most words, then the largest hash. A window without any, as inside a
-    long run of one word, is named by its own words. Equal windows so have equal names wherever
-    they stand, and neighbours mostly share one.
+    the one that covers most words, then the largest hash. The name also has the words that
+    decide on the symbol, so that common symbols in other company differ. A window without any, as
+    inside a long run of one word, is named by its own words. Equal windows so have equal names
+    wherever they stand, and neighbours mostly share one.
     """
     total = len(hashes)
     count = total - window + 1
@@ -96,15 +99,18 @@ def window_names(hashes: np.ndarray, window: int, rounds: int = 3) -> np.ndarray
         levels.append(name_pairs(levels[-1], number, total))
     best = np.zeros(count, np.uint64)
     for level in reversed(levels):
-        open_before = np.r_[0, np.cumsum(best == 0)]
+        unnamed = np.r_[0, np.cumsum(best == 0)]
         fits = (level.high - level.low <= window) & (level.low >= 0) & (level.high <= total)
         first = np.maximum(level.high - window, 0)
         last = np.minimum(level.low, count - 1)
         fits &= first <= last
-        fits[fits] = open_before[last[fits] + 1] > open_before[first[fits]]
-        span = np.minimum(level.span[fits], 31).astype(np.uint64)
-        keys = (span << _SPAN_BITS) | (mixed(level.name[fits]) >> np.uint64(6))
-        first, last = first[fits], last[fits]
+        fits[fits] = unnamed[last[fits] + 1] > unnamed[first[fits]]
+        picked = np.flatnonzero(fits)
+        around = stretch_hashes(hashes, level.low[picked], level.high[picked])
+        keys = np.minimum(level.span[picked], 31).astype(np.uint64) << _SPAN_SHIFT
+        keys |= mixed(level.name[picked]) >> _NAME_CUT << _NAME_SHIFT
+        keys |= around >> _AROUND_CUT
+        first, last = first[picked], last[picked]
         found = np.zeros(count, np.uint64)
         for step in range(window):
             at = last - step
@@ -113,9 +119,9 @@ def window_names(hashes: np.ndarray, window: int, rounds: int = 3) -> np.ndarray
                 break
             np.maximum.at(found, at[inside], keys[inside])
         best = np.where(best == 0, found, best)
-    bare = best == 0
-    if bare.any():
-        best[bare] = stretch_hashes(hashes, np.flatnonzero(bare), np.flatnonzero(bare) + window)
+    bare = np.flatnonzero(best == 0)
+    if len(bare):
+        best[bare] = stretch_hashes(hashes, bare, bare + window)
     return best
 
 

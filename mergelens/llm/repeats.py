@@ -8,6 +8,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,9 +136,8 @@ def _listed(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.empty(0, np.uint64) if values is None else values.to_numpy().view(np.uint64)
 
 
-_RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-_FIRST = f"{_RESULT}, hashes array<long>, covered binary, source string"
 _NAMES = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+_RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def _kept(words: list[bytes], covered: np.ndarray, texts: bool) -> tuple[str, str | None]:
@@ -148,76 +148,113 @@ def _kept(words: list[bytes], covered: np.ndarray, texts: bool) -> tuple[str, st
     return sha256(text).hexdigest(), text.decode() if texts else None
 
 
-def _judge_plain(docs: DataFrame, marks: DataFrame, window: int, texts: bool) -> DataFrame:
-    """Results of documents without mixed names; for the others what the second look needs."""
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 500):
+            yield batch.slice(start, 500)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                columns = [part.column(n) for n in ("doc_id", "text", "plain", "mixed")]
-                out: list[list] = [[] for _ in range(7)]
-                raw = as_bytes(columns[1])
-                marked = list(zip(_listed(columns[2]), _listed(columns[3]), strict=True))
-                named = iter(parsed([t for t, (a, b) in zip(raw, marked, strict=True) if len(a) + len(b)], window))
-                for text, (plain, mixed_names) in zip(raw, marked, strict=True):
-                    if len(plain) + len(mixed_names):
-                        found = next(named)
-                        hit = np.flatnonzero(np.isin(found.names, plain))
-                        covered = _covered(hit, len(found.words), window)
-                        again = np.flatnonzero(np.isin(found.names, mixed_names))
-                        words = found.words
-                    else:
-                        words, again = text.split(), ()
-                        covered = np.zeros(len(words), bool)
-                    later = len(again) > 0
-                    hashes = stretch_hashes(found.hashes, again, again + window) if later else None
-                    row = (
-                        len(words),
-                        None if later else int(covered.sum()),
-                        *((None, None) if later else _kept(words, covered, texts)),
-                        np.unique(signed(hashes)).tolist() if later else None,
-                        np.packbits(covered).tobytes() if later else None,
-                        text.decode() if later else None,
-                    )
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())]
-                types += [pa.binary(), pa.string()]
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id and the compressed text, for the way to other machines; null counts as empty."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for part in _parts(batches):
+            made = [compress(text) for text in as_bytes(part.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(made, pa.binary())], names=["doc_id", "packed"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        pack, "doc_id long, packed binary"
+    )
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    restore = zstandard.ZstdDecompressor().decompress
+    return [restore(value) for value in column.to_pylist()]
+
+
+def _mixed_windows(marked: DataFrame, window: int) -> DataFrame:
+    """doc_id, hash and check (both of its words) of every window that has a mixed name."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            raw = _unpacked(part.column("packed"))
+            asked = [(i, n) for i, n in enumerate(_listed(part.column("mixed"))) if len(n)]
+            hashes, checks, owners = [], [], []
+            texts = parsed([raw[i] for i, _ in asked], window)
+            for (i, names), text in zip(asked, texts, strict=True):
+                at = np.flatnonzero(np.isin(text.names, names))
+                one = stretch_hashes(text.hashes, at, at + window)
+                one, first = np.unique(one, return_index=True)
+                hashes.append(one)
+                checks.append(text.names[at][first])
+                owners.append(np.full(len(one), ids[i], np.int64))
+            if hashes:
+                check = (np.concatenate(checks) & np.uint64(0x7FFFFFFF)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [columns[0], *(pa.array(c, t) for c, t in zip(out, types, strict=True))],
-                    names=[*_NAMES, "hashes", "covered", "source"],
+                    [
+                        pa.array(np.concatenate(owners)),
+                        pa.array(signed(np.concatenate(hashes))),
+                        pa.array(check),
+                    ],
+                    names=["doc_id", "hash", "check"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(marks, "doc_id", "left")
-    return rows.select("doc_id", "text", "plain", "mixed").mapInArrow(judge, _FIRST)
+    return marked.mapInArrow(look, "doc_id long, hash long, check int")
 
 
-def _judge_mixed(rows: DataFrame, window: int, texts: bool) -> DataFrame:
-    """The rest: windows of mixed names whose words stand in a smaller document are covered too."""
+def _repeated(windows: DataFrame) -> DataFrame:
+    """doc_id and the hashes of its windows that also stand in a smaller document."""
+    shared = (
+        windows.groupBy("hash", "check")
+        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        .where(F.col("least") < F.col("most"))
+        .select("hash", "check", "least")
+    )
+    return (
+        windows.join(shared, ["hash", "check"])
+        .where(F.col("doc_id") > F.col("least"))
+        .groupBy("doc_id")
+        .agg(F.collect_set("hash").alias("repeated"))
+    )
+
+
+def _judge(rows: DataFrame, window: int, texts: bool) -> DataFrame:
+    """The result of every text with its plain and mixed names and its repeated windows."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = as_bytes(batch.column(1))
-            removed, digests, kept = [], [], []
-            for text, bits, repeated in zip(
-                raw, batch.column(2).to_pylist(), _listed(batch.column(3)), strict=True
-            ):
-                words = text.split()
-                hashes = word_hashes(words)
-                starts = np.arange(len(words) - window + 1)
-                hit = np.flatnonzero(np.isin(stretch_hashes(hashes, starts, starts + window), repeated))
-                covered = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(words)).astype(bool)
-                covered |= _covered(hit, len(words), window)
-                removed.append(int(covered.sum()))
-                one, left = _kept(words, covered, texts)
-                digests.append(one)
-                kept.append(left)
-            made = [pa.array(removed, pa.int64()), *(pa.array(c, pa.string()) for c in (digests, kept))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), *made], names=_NAMES)
-
-    listed = rows.select("doc_id", "source", "covered", "repeated", "n_words")
-    return listed.mapInArrow(judge, _RESULT)
+        for part in _parts(batches):
+            raw = _unpacked(part.column("packed"))
+            plain, mixed_names, repeated = (
+                list(_listed(part.column(n))) for n in ("plain", "mixed", "repeated")
+            )
+            named = [i for i in range(len(raw)) if len(plain[i]) or len(repeated[i])]
+            found = dict(zip(named, parsed([raw[i] for i in named], window), strict=True))
+            out: list[list] = [[], [], [], []]
+            for i, text in enumerate(raw):
+                words = found[i].words if i in found else text.split()
+                covered = np.zeros(len(words), bool)
+                if i in found:
+                    one = found[i]
+                    hit = np.isin(one.names, plain[i])
+                    if len(repeated[i]):
+                        at = np.flatnonzero(np.isin(one.names, mixed_names[i]))
+                        again = np.isin(stretch_hashes(one.hashes, at, at + window), repeated[i])
+                        hit[at[again]] = True
+                    covered = _covered(np.flatnonzero(hit), len(words), window)
+                row = (len(words), int(covered.sum()), *_kept(words, covered, texts))
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, types, strict=True))],
+                names=_NAMES,
+            )
+
+    return rows.select("doc_id", "packed", "plain", "mixed", "repeated").mapInArrow(judge, _RESULT)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> DataFrame:
@@ -233,26 +270,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, texts: bool = True) -> Dat
 
     Null and empty texts have no words. Rows of one doc_id do not count against each other; a row
     without doc_id neither loses words nor takes any. An empty table gives no rows. Other columns
-    are not read. Hashes of words have 64 bits, of windows 64 more inside a name.
+    are not read. Words and stretches are compared by 64-bit hashes, windows by 31 bits more. Texts
+    are sent to the marks of their documents once, compressed, for both looks at them.
     """
-    marks = _marks(cells(docs, window))
-    first = cut_lineage(_judge_plain(docs, marks, window, texts))
-    asked = first.where(F.col("hashes").isNotNull())
-    windows = asked.select("doc_id", F.explode("hashes").alias("hash"))
-    shared = (
-        windows.groupBy("hash")
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .where(F.col("least") < F.col("most"))
-        .select("hash", "least")
-    )
-    repeated = (
-        windows.join(shared, "hash")
-        .where(F.col("doc_id") > F.col("least"))
-        .groupBy("doc_id")
-        .agg(F.collect_set("hash").alias("repeated"))
-    )
-    second = _judge_mixed(asked.join(repeated, "doc_id", "left"), window, texts)
-    done = first.where(F.col("hashes").isNull()).select(*_NAMES)
-    rows = done.unionByName(second.select(*_NAMES))
+    marks = cut_lineage(_marks(cells(docs, window)))
+    marked = _packed(docs).join(marks, "doc_id", "left")
+    marked = marked.select("doc_id", "packed", "plain", "mixed")
+    repeated = _repeated(_mixed_windows(marked, window))
+    rows = _judge(marked.join(repeated, "doc_id", "left"), window, texts)
     return rows if texts else rows.drop("kept_text")
-
