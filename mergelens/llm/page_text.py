@@ -205,9 +205,10 @@ def path_scores(page: Page, texts: list[tuple[int, int, str]]) -> dict[str, floa
 def main_text(source: str | None) -> str:
     """The blocks of the main text, each with single spaces, joined by a space.
 
-    Paths whose score reaches the deviation of all scores are content. The main container is the
-    article or main element with most of their text, else the deepest holder (body, div, section,
-    cell) that has four fifths of it; all its text counts but what is set aside. Null, empty and textless pages: empty.
+    Texts of the paths whose score reaches the deviation of all scores are content, and all of them
+    stay. Lines of a lower score (headings, lists) stay if they are inside an article or main element,
+    or inside the smallest holder (body, div, section, cell) around all content outside of those.
+    What is set aside never counts. Null, empty and textless pages: empty.
     """
     page = parse(source or "")
     aside = _settle(page)
@@ -221,14 +222,8 @@ def main_text(source: str | None) -> str:
     mean = sum(scores.values()) / len(scores)
     deviation = math.sqrt(sum((s - mean) ** 2 for s in scores.values()) / len(scores))
     limit = min(deviation, max(scores.values()))
-    content: Counter = Counter()
-    every: Counter = Counter()
-    for element, _, text in visible:
-        every[element] += len(text)
-        if scores[page.elements[element].path] >= limit:
-            content[element] += len(text)
-    container = _container(page, aside, content, every)
-    inside = {container}
+    content = {e for e, _, _ in visible if scores[page.elements[e].path] >= limit}
+    inside = _containers(page, aside, content, {e for e, _, _ in visible})
     for i, element in enumerate(page.elements):
         if element.parent in inside:
             inside.add(i)
@@ -240,22 +235,35 @@ def main_text(source: str | None) -> str:
     return " ".join(block for block in found if block)
 
 
-def _container(page: Page, aside: list[bool], content: Counter, every: Counter) -> int:
-    held, all_held = Counter(content), Counter(every)
-    for i in range(len(page.elements) - 1, 0, -1):
-        held[page.elements[i].parent] += held[i]
-        all_held[page.elements[i].parent] += all_held[i]
-    mains = [i for i, e in enumerate(page.elements) if e.main and not aside[i] and all_held[i]]
-    if mains:
-        best = max(mains, key=lambda i: (held[i], all_held[i], -i))
-        inner = [i for i in mains if held[i] == held[best] and all_held[i] >= 0.8 * all_held[best]]
-        if 2 * held[best] >= held[0] or len(mains) == 1:
-            return max(inner)
-    enough = [i for i in range(len(page.elements)) if held[i] >= 0.8 * held[0]]
-    best = max(enough, key=lambda i: (page.elements[i].path.count("/"), i))
-    while best and page.elements[best].name not in HOLDERS:
-        best = page.elements[best].parent
-    return best
+def _containers(page: Page, aside: list[bool], content: set[int], texted: set[int]) -> set[int]:
+    """The elements that hold the main text: together they are around all of ``content``."""
+    elements = page.elements
+    found: set[int] = set()
+    covered, has_main, has_text = set(), set(), set(texted)
+    for i in range(len(elements) - 1, 0, -1):
+        if i in has_text:
+            has_text.add(elements[i].parent)
+    for i, element in enumerate(elements):
+        if element.parent in covered:
+            covered.add(i)
+        elif element.main and not aside[i] and i in has_text:
+            found.add(i)
+            covered.add(i)
+            up = element.parent
+            while up >= 0 and up not in has_main:
+                has_main.add(up)
+                up = elements[up].parent
+    outside = content - covered
+    if not outside:
+        return found
+    held = Counter(outside)
+    for i in range(len(elements) - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+    # Elements are in page order, so the last one around all of them is the innermost.
+    cover = best = max(i for i in range(len(elements)) if held[i] == len(outside))
+    while best and elements[best].name not in HOLDERS:
+        best = elements[best].parent
+    return found | {cover if best in has_main else best}
 
 
 def extract_pages(pages: DataFrame, keep: list[str], source: str) -> DataFrame:

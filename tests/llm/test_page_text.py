@@ -53,3 +53,25 @@ def test_odd_pages(spark):
     got = extract_pages(df, ["page_id", "url"], "html").collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("same", 4), ("same", 4)]
     assert extract_pages(df.limit(0), ["page_id", "url"], "html").count() == 0
+
+
+def test_content_in_several_containers():
+    """All high-scored text stays, whatever elements it is split over, with the headings between."""
+    long = [f"Part {i} tells a story, slowly; it has words, marks, and an end. " * 3 for i in range(20)]
+    lines = [" ".join(t.split()) for t in long]
+    around = "<html><body><nav><a>one</a> <a>two</a></nav>{}<footer>all rights</footer></body></html>"
+    for first in (17, 12, 10):
+        for one, two in (
+            ("div", "div"), ("div", "section"), ("article", "article"), ("main", "article"),
+            ("article", "div"), ("div", "article"),
+        ):
+            parts = [
+                f"<{name}><h2>Head {i}</h2>" + "".join(f"<p>{t}</p>" for t in texts) + f"</{name}>"
+                for i, (name, texts) in enumerate(((one, long[:first]), (two, long[first:])))
+            ]
+            expected = " ".join(["Head 0", *lines[:first], "Head 1", *lines[first:]])
+            assert main_text(around.replace("{}", "".join(parts))) == expected, (first, one, two)
+    cells = "".join(f"<td><p>{t}</p></td>" for t in long)
+    assert main_text(around.replace("{}", f"<table><tr>{cells}</tr></table>")) == " ".join(lines)
+    after = f"<article><p>{long[0]}</p></article><span>x</span><p>{long[1]}</p>"
+    assert main_text(around.replace("{}", after)) == " ".join(lines[:2])
