@@ -20,11 +20,15 @@ ATTRIBUTE = re.compile(r"""([\w:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
-#: Fixed values of HTML: elements without an end, with raw content, that break a line.
+#: Fixed values of HTML: elements without an end, with raw content (shown for xmp, up to the end of the
+#: page without an end tag for script and style), that are never shown, that break a line.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = frozenset("script style title textarea noscript iframe xmp template svg math object".split())
+RAW = frozenset("script style title textarea xmp noembed noframes".split())
+RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
+ENDLESS = frozenset("script style".split())
+UNSHOWN = frozenset("svg template annotation annotation-xml datalist".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol "
@@ -36,6 +40,15 @@ CLOSES = {
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th"),
 }
 SCOPES = frozenset("ul ol dl table select article section div body html main".split())
+#: Elements of another language, the places in them that hold HTML again, and HTML elements that end
+#: them when they start.
+FOREIGN = frozenset("svg math".split())
+HTML_PLACES = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+    "listing main menu meta nobr ol p pre ruby s section article aside header footer nav figure form "
+    "small span strong strike sub sup table tt u ul var".split()
+)
 #: Elements that hold whole texts, other than single paragraphs, lists or inline marks.
 HOLDERS = frozenset("article body center div html main section td".split())
 #: Elements that never hold the main text, and words in class, id or role that say so.
@@ -71,7 +84,8 @@ def parse(source: str) -> Page:
     """Reads any text as HTML: unknown, unclosed and misplaced tags are taken as they come."""
     page = Page([Element("", -1, "")])
     stack, at, block = [0], 0, 0
-    end = len(source)
+    end, any_foreign = len(source), False
+    unended: set[str] = set()
     while at < end:
         found = MARKUP.search(source, at)
         stop = found.start() if found else end
@@ -94,19 +108,52 @@ def parse(source: str) -> Page:
                 if name not in BLOCK and open_name in BLOCK:
                     break
             continue
+        closed = found[3].rstrip().endswith("/")
+        any_foreign = any_foreign or name in FOREIGN
+        foreign = any_foreign and _foreign(page, stack, name)
         if name in RAW:
-            closing = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(source, at)
-            at = closing.end() if closing else end
+            if foreign and closed:
+                continue
+            closing = None if name in unended else RAW_ENDS[name].search(source, at)
+            if closing and name == "xmp":
+                page.elements.append(_element(page, stack[-1], name, found[3]))
+                shown = html.escape(source[at : closing.start()])
+                page.texts.append((len(page.elements) - 1, block, shown))
+            if closing:
+                at = closing.end()
+                continue
+            unended.add(name)
+            if name in ENDLESS and not foreign:
+                at = end
+            else:
+                following = MARKUP.search(source, at)
+                at = following.start() if following else end
             continue
-        if name in VOID:
+        if name in VOID and not foreign:
             continue
         _close_implied(page, stack, name)
         page.elements.append(_element(page, stack[-1], name, found[3]))
-        if not found[3].rstrip().endswith("/") or name in BLOCK:
+        if not closed or (name in BLOCK and not foreign):
             stack.append(len(page.elements) - 1)
     return page
 
 
+def _foreign(page: Page, stack: list[int], name: str) -> bool:
+    """Whether a starting element belongs to open svg or math; one of HTML ends them instead."""
+    for depth in range(len(stack) - 1, 0, -1):
+        open_name = page.elements[stack[depth]].name
+        if open_name in HTML_PLACES:
+            return False
+        if open_name in FOREIGN:
+            if name in BREAKOUT:
+                del stack[depth:]
+                return False
+            return True
+        if open_name in BLOCK:
+            break
+    return False
+
+
 def _close_implied(page: Page, stack: list[int], name: str) -> None:
     if name in BLOCK:
         for depth in range(len(stack) - 1, 0, -1):
@@ -139,7 +186,8 @@ def _element(page: Page, parent: int, name: str, attributes: str) -> Element:
     made.main = name in ("article", "main") or values.get("role") == "main"
     inside = "/article/" in made.path or "/main/" in made.path
     hidden = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "")
-    if name in ASIDE or hidden or values.get("aria-hidden") == "true":
+    unshown = name in UNSHOWN and "shadowrootmode" not in values
+    if name in ASIDE or unshown or hidden or values.get("aria-hidden") == "true":
         made.aside = True
     elif name == "header" or words & {"header", "topbar"}:
         made.aside |= not inside

@@ -75,3 +75,26 @@ def test_content_in_several_containers():
     assert main_text(around.replace("{}", f"<table><tr>{cells}</tr></table>")) == " ".join(lines)
     after = f"<article><p>{long[0]}</p></article><span>x</span><p>{long[1]}</p>"
     assert main_text(around.replace("{}", after)) == " ".join(lines[:2])
+
+
+def test_icons_formulas_and_fallback_texts():
+    """Only script, style and the like are raw; nothing after an icon or a formula is lost."""
+    page = "<article><p>Start, with {} in it.</p><p>And an end, of it.</p></article><svg><a>x</a></svg>"
+    cases = {
+        "<svg class=i />": "", "<svg/>": "", "<svg viewBox='0 0 1 1'><path d='M0 0'/></svg>": "", "<math/>": "",
+        "<svg><title>Icon</title><style>a{}</style><g><text>no</text></g></svg>": "", "<svg><title/><g/></svg>": "",
+        "<math><mi>a</mi><mo>+</mo><mi>b</mi></math>": "a+b", "<template>no</template>": "", "<template/>": "",
+        "<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>": "x",
+        "<object data=x>fall <b>back</b></object>": "fall back", "<object/>": "", "<iframe src=x />": "",
+        "<noscript>plain <i>form</i></noscript>": "plain form", "<noscript/>": "", "<iframe src=x></iframe>": "",
+        "<xmp><b>&amp;</b></xmp>": "<b>&amp;</b>", "<script>'<p>'</script>": "", "<style>p{}</style>": "",
+        "<object data=x>": "", "<noscript>": "", "<iframe src=x>": "", "<math>": "",
+        "<textarea>no</textarea>": "",
+    }
+    for source, shown in cases.items():
+        expected = f"Start, with {shown} in it. And an end, of it."
+        assert main_text(page.replace("{}", source)) == " ".join(expected.split()), source
+    for source in ("<svg>", "<svg><path d='M0 0'>", "<template>", "<title>", "<svg><title>", "<textarea>"):
+        got = main_text(page.replace("{}", source))
+        assert got.startswith("Start, with") and got.endswith("And an end, of it."), source
+        assert main_text(page.replace("{}", f"<b>{source}</b>")).endswith("And an end, of it."), source
