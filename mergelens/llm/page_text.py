@@ -52,7 +52,10 @@ BREAKOUT = frozenset(
 #: Elements that hold whole texts, other than single paragraphs, lists or inline marks.
 HOLDERS = frozenset("article body center div html main section td".split())
 #: Elements that never hold the main text, and words in class, id or role that say so.
-ASIDE = frozenset("nav aside footer form button select menu dialog head label input".split())
+#: Replies can be longer than the text they are about. A token that starts with a word of MODIFIERS tells of another part, not of its own.
+ASIDE = frozenset("nav aside footer button select menu dialog head label input".split())
+REPLY_WORDS = frozenset("comment comments commentlist disqus replies respond".split())
+MODIFIERS = frozenset("no not non with without has have had hide show wide full".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie "
     "cookies consent gdpr notice alert sidebar aside menu nav navbar navigation breadcrumb "
@@ -68,7 +71,8 @@ class Element:
     parent: int
     path: str
     aside: bool = False
-    by_words: bool = False
+    #: The words (or the form) for which an element is set aside unless it holds most of the text.
+    named: frozenset[str] = frozenset()
     main: bool = False
 
 
@@ -174,14 +178,17 @@ def _close_implied(page: Page, stack: list[int], name: str) -> None:
 
 def _element(page: Page, parent: int, name: str, attributes: str) -> Element:
     above = page.elements[parent]
-    made = Element(name, parent, f"{above.path}/{name}", above.aside)
+    made = Element(name, parent, f"{above.path}/{name}")
     values = {
         k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes) if v or k == "hidden"
     }
     words = {
         w.lower()
         for key in ("class", "id", "role")
-        for w in NAME.findall(values.get(key, ""))
+        for token in values.get(key, "").split()
+        for split in [NAME.findall(token)]
+        if split and split[0].lower() not in MODIFIERS
+        for w in split
     }
     made.main = name in ("article", "main") or values.get("role") == "main"
     inside = "/article/" in made.path or "/main/" in made.path
@@ -189,31 +196,66 @@ def _element(page: Page, parent: int, name: str, attributes: str) -> Element:
     unshown = name in UNSHOWN and "shadowrootmode" not in values
     if name in ASIDE or unshown or hidden or values.get("aria-hidden") == "true":
         made.aside = True
-    elif name == "header" or words & {"header", "topbar"}:
-        made.aside |= not inside
-    elif words & ASIDE_WORDS and name not in ("html", "body"):
-        made.aside = made.by_words = True
-        made.main = False
+    elif name == "header":
+        made.aside = not inside
+    elif name == "form":
+        made.named = frozenset({"form"})
+    elif name not in ("html", "body"):
+        outer = frozenset() if inside else frozenset({"header", "topbar"})
+        made.named = frozenset(words & (ASIDE_WORDS | outer))
     return made
 
 
 def _settle(page: Page) -> list[bool]:
-    """Whether each element is set aside; one named so but around an article or title is not."""
-    needed = set()
-    for i, element in enumerate(page.elements):
-        if element.main or element.name == "h1":
-            up = element.parent
-            while up > 0 and up not in needed:
-                needed.add(up)
-                up = page.elements[up].parent
+    """Whether each element is set aside.
+
+    A name does so only to elements that, alone or as many of the same path and names, hold at most half
+    of the running text (outside links, with punctuation; without any, all text) that no element
+    like nav has. Replies, and what is not in an article, stay aside, however long, if articles or main
+    elements have a fifth of it.
+    One around a title stays, and one around an article if no other article has that fifth.
+    """
+    elements = page.elements
+    sized, every = Counter(), Counter()
+    for element, _, text in page.texts:
+        every[element] += len(text.strip())
+        if PUNCTUATION.search(text) and "/a/" not in elements[element].path + "/":
+            sized[element] += len(text.strip())
+    hard, named, in_main = [], [], []
+    for element in elements:
+        up = element.parent
+        hard.append(element.aside or (up >= 0 and hard[up]))
+        named.append(bool(element.named) or (up >= 0 and named[up]))
+        in_main.append((element.main and not element.named) or (up >= 0 and in_main[up]))
+    if not any(size for i, size in sized.items() if not hard[i]):
+        sized = every
+    held = [0 if hard[i] else sized[i] for i in range(len(elements))]
+    in_articles = sum(h for h, m, n in zip(held, in_main, named, strict=True) if m and not n)
+    titled, around = set(), set()
+    for i in range(len(elements) - 1, 0, -1):
+        up = elements[i].parent
+        held[up] += held[i]
+        if i in titled or elements[i].name == "h1":
+            titled.add(up)
+        if i in around or (elements[i].main and not elements[i].named):
+            around.add(up)
+    alike, largest = Counter(), Counter()
+    for i, element in enumerate(elements):
+        if element.named:
+            alike[element.path, element.named] += held[i]
+            largest[element.path, element.named] = max(largest[element.path, element.named], held[i])
+    article = in_articles and 5 * in_articles >= held[0]
     aside = []
-    for i, element in enumerate(page.elements):
-        own = element.aside and (element.parent < 0 or not page.elements[element.parent].aside)
-        if element.parent >= 0 and aside[element.parent]:
-            own = True
-        elif element.by_words:
-            own = i not in needed
-        aside.append(own)
+    for i, element in enumerate(elements):
+        own = element.aside
+        if element.named:
+            key = element.path, element.named
+            single = 2 * largest[key] > held[0]
+            most = 2 * (held[i] if single else alike[key]) > held[0]
+            kept = "form" not in element.named and (i in titled or i in around and not article)
+            beside = article and (element.named & REPLY_WORDS or "/article/" not in element.path)
+            own = not kept and (bool(beside) or not most)
+        aside.append(own or (element.parent >= 0 and aside[element.parent]))
     return aside
 
 

@@ -98,3 +98,31 @@ def test_icons_formulas_and_fallback_texts():
         got = main_text(page.replace("{}", source))
         assert got.startswith("Start, with") and got.endswith("And an end, of it."), source
         assert main_text(page.replace("{}", f"<b>{source}</b>")).endswith("And an end, of it."), source
+
+
+def test_names_do_not_remove_most_of_the_text():
+    """An element with most of the text stays, whatever its name is; small named ones go."""
+    text = "".join(f"<p>Part {i} tells a story, slowly; it has marks, and an end.</p>" for i in range(9))
+    shown = " ".join(re.findall(r"<p>(.*?)</p>", text))
+    side = "<div class=sidebar><p>More, of it.</p></div><div class=comments><p>I like it, much.</p></div>"
+    page = "<body><div class=menu>" + "<a>far away, and so on</a> " * 99 + "</div>{}" + side + "</body>"
+    for names in (
+        "content no-sidebar", "post with-comments", "hasShare main", "search-result", "related", "comments",
+        "page has-header", "popup modal", "sidebar",
+    ):
+        for holder in (
+            f"<div class='{names}'>{text}</div>", f"<div class='{names}'><h2>Two</h2>{text}</div>",
+            f"<article class='{names}'>{text}</article>", f"<div id='{names}'><div role=search>{text}</div></div>",
+            f"<form class='{names}'><input>{text}<label>Send, please.</label></form>",
+        ):
+            for title in ("", "<h1>Title</h1>"):
+                got = main_text(page.replace("{}", title + holder))
+                assert got.removeprefix("Title ") == ("Two " if "h2" in holder else "") + shown, (names, holder[:30])
+    assert main_text(f"<form action=x>{page.replace('{}', text)}</form>") == shown
+    results = "".join(f"<div class='search-result'>{p}</div>" for p in text.split("\n"))
+    assert main_text(page.replace("{}", results)) == shown
+    replies = "<div class=comments><article class=comment><p>I like it, very, very much.</p></article></div>"
+    for one in ("<article>{}</article>", "<main>{}</main>"):
+        assert main_text(one.replace("{}", text) + 40 * replies) == shown
+    inner = f"<article><h1>Title</h1><p>It starts, slowly; it has marks.</p><div class=related>{text}</div></article>"
+    assert main_text(inner) == f"Title It starts, slowly; it has marks. {shown}"
