@@ -27,6 +27,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: What the network looks at: runs of the signs of values, from 16 signs on.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+LEAST = 16
 #: Signs before, in (first and last half) and after a candidate that the network sees.
 BEFORE, HALF, AFTER = 24, 24, 24
 
@@ -57,15 +58,27 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s.start, s.kind))
 
 
-def candidates(text: str, base: list[Span]) -> list[Span]:
-    """Runs of value signs that no base span touches; the network decides on each."""
-    found = [Span(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text)]
-    if not base or not found:
-        return found
-    starts = np.array([s.start for s in base])
-    reach = np.maximum.accumulate([s.end for s in base])
-    before = np.searchsorted(starts, [s.end for s in found])
-    return [s for s, k in zip(found, before, strict=True) if not k or reach[k - 1] <= s.start]
+def candidates(text: str, base: list[Span], parts: bool = True) -> list[Span]:
+    """Runs of value signs for the network; of a run that base spans touch, the parts they leave.
+
+    ``parts`` False leaves such runs out.
+    """
+    out, at = [], 0
+    stretches: list[list[int]] = []
+    for s in base:
+        if stretches and s.start <= stretches[-1][1]:
+            stretches[-1][1] = max(stretches[-1][1], s.end)
+        else:
+            stretches.append([s.start, s.end])
+    for m in CANDIDATE.finditer(text):
+        while at < len(stretches) and stretches[at][1] <= m.start():
+            at += 1
+        start, k = m.start(), at
+        while k < len(stretches) and stretches[k][0] < m.end():
+            out.append((start, stretches[k][0], True))
+            start, k = stretches[k][1], k + 1
+        out.append((start, m.end(), k > at))
+    return [Span(i, 3, j) for i, j, part in out if j - i >= LEAST and (parts or not part)]
 
 
 def views(texts: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +143,7 @@ def _weak_batches(batches: Iterator[pa.RecordBatch], each: int) -> Iterator[pa.R
         out = []
         for place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             base = base_spans(text or "")
-            picked = base[:each] + candidates(text or "", base)[:each] if text else []
+            picked = base[:each] + candidates(text or "", base, parts=False)[:each] if text else []
             for rank, s in enumerate(picked):
                 around = text[max(0, s.start - BEFORE) : s.start], text[s.end : s.end + AFTER]
                 out.append((place, rank, around[0], text[s.start : s.end], around[1], s.kind < 3))

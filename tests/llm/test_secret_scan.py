@@ -121,3 +121,12 @@ def test_redact_joins_overlaps():
 
 def test_empty_table(spark, model):
     assert scan_secrets(documents(spark, []), model, ["doc_id"]).count() == 0
+
+
+def test_parts_that_base_spans_leave_are_asked():
+    key = "AKIA" + "Z" * 16
+    text = f"x {key}/wJalrXUtnFEMIK7MDENGbPxRfi and {'0a' * 14}-Xq7RtYw2Kp9LmVb4Nc {'q' * 20}"
+    base = base_spans(text)
+    asked = [text[s.start : s.end] for s in candidates(text, base)]
+    assert asked == ["/wJalrXUtnFEMIK7MDENGbPxRfi", "-Xq7RtYw2Kp9LmVb4Nc", "q" * 20]
+    assert [text[s.start : s.end] for s in candidates(text, base, parts=False)] == ["q" * 20]
