@@ -18,6 +18,7 @@ from mergelens.llm import (
     secret_scan,
     shards,
     urls,
+    vector_codes,
 )
 
 SHARDS = 40
@@ -104,6 +105,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,5 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_contamination,
         op9_repeated_passages,
         op10_url_filter,
+        op11_vector_codes,
     )
 }
