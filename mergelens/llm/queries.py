@@ -19,7 +19,9 @@ from mergelens.llm import (
     shards,
     urls,
     vector_codes,
+    warc,
 )
+from mergelens.session import new_dir
 
 SHARDS = 40
 #: The vocabulary file of a public tokenizer; None: where its package says.
@@ -109,6 +111,20 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.resolved(warc.read_archives(spark, path))
+    return records.select(
+        warc.page_of(F.col("record_id")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).cast("long").alias("refers_to"),
+        "verified",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,5 +139,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeated_passages,
         op10_url_filter,
         op11_vector_codes,
+        op12_warc,
     )
 }
