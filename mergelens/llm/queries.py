@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mergelens.llm import (
     bpe,
     contamination,
+    conversations,
     fingerprints,
     neardup,
     page_text,
@@ -125,6 +126,11 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.audits(conversations.damage(rows), every=rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -140,5 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
         op11_vector_codes,
         op12_warc,
+        op13_conversation_repair,
     )
 }
