@@ -123,15 +123,15 @@ def refresh_plan(
     )
 
 
-def _non_empty(items: Column) -> Column:
+def non_empty(items: Column) -> Column:
     return F.coalesce(F.when(items.isNotNull(), F.size(items) > 0), F.lit(False))
 
 
-def _has(df: DataFrame, name: str, value: Column) -> Column:
+def has_content(df: DataFrame, name: str, value: Column) -> Column:
     """Whether a kept column has content: a non-empty text, array or map, any other non-null."""
     kind = dict(df.dtypes)[name]
     if kind.startswith(("array", "map")):
-        return _non_empty(value)
+        return non_empty(value)
     if kind == "string":
         return F.coalesce(value, F.lit("")) != ""
     return value.isNotNull()
@@ -162,10 +162,10 @@ def merge_snapshots(
     def merged(name: str) -> Column:
         before, after = F.col("_old")[name], F.col("_new")[name]
         if name in components:
-            return F.when(_non_empty(after), after).otherwise(F.coalesce(before, after))
+            return F.when(non_empty(after), after).otherwise(F.coalesce(before, after))
         if name in leader:
             first = leader[name]
-            return F.when(_has(old, first, F.col("_old")[first]), before).otherwise(after)
+            return F.when(has_content(old, first, F.col("_old")[first]), before).otherwise(after)
         return F.when(F.col("_new").isNotNull(), after).otherwise(before)
 
     return both.select(*key, *[merged(name).alias(name) for name in columns])
@@ -216,7 +216,7 @@ def merge_history(
         F.max_by(F.struct(*others), when).alias("_newest"),
         *[
             F.coalesce(
-                F.max_by(F.col(name), F.when(_non_empty(F.col(name)), when)),
+                F.max_by(F.col(name), F.when(non_empty(F.col(name)), when)),
                 F.max_by(F.col(name), F.when(F.col(name).isNotNull(), when)),
             ).alias(name)
             for name in components
@@ -224,7 +224,7 @@ def merge_history(
         *[
             F.coalesce(
                 F.min_by(
-                    F.struct(name, *with_it), F.when(_has(records, name, F.col(name)), when)
+                    F.struct(name, *with_it), F.when(has_content(records, name, F.col(name)), when)
                 ),
                 F.max_by(F.struct(name, *with_it), when),
             ).alias(f"_{name}")
