@@ -61,7 +61,8 @@ def strip_pulls_template(url: Column) -> Column:
 
 
 def pull_request_id(full_name: Column, number: Column) -> Column:
-    return F.concat_ws("_", full_name, number.cast("string"))
+    """``{full_name}_{number}``; null if either is, so such rows never pass for one another."""
+    return F.concat(full_name, F.lit("_"), number.cast("string"))
 
 
 def stable_key(*parts: Column) -> Column:

@@ -48,7 +48,10 @@ SNAPSHOTS = (
     (1, 100, "1995-01-01", "1998-01-01"),
     (2, 200, "1997-01-01", "2000-01-01"),
     (3, 300, "1999-01-01", "2001-01-01"),
+    (4, 400, "2001-01-01", "2100-01-01"),
 )
+#: The last file is what a refresh has not seen yet; all files together hold every pull request.
+LAST_SNAPSHOT = SNAPSHOTS[-1][0]
 PR = ("pr_number",)
 
 
@@ -75,15 +78,16 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def spread(self, name: str, *key: str) -> DataFrame:
-        """A table for heavy per-row work, dealt to more tasks if its scan has fewer than cores.
+        """A table for heavy per-row work, dealt over all cores by ``key``.
 
-        Large files are split by the scan itself and stay as they are. ``key`` should be unique,
-        so that a value that repeats often does not fill one task.
+        The tables may be a single small file. ``key`` should be unique, so that a value that
+        repeats often does not fill one task.
         """
-        table = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        tasks = table._jdf.queryExecution().toRdd().getNumPartitions()
-        return table.repartition(cores, *key) if tasks < cores else table
+        tasks = max(
+            self.spark.sparkContext.defaultParallelism,
+            int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+        )
+        return self.table(name).repartition(tasks, *key)
 
     def _lines(self) -> DataFrame:
         return self.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -295,6 +299,11 @@ class Fixtures:
             (snap == 3).alias("has_files"),
         )
 
+    @property
+    def prior_snapshots(self) -> DataFrame:
+        """The snapshots without the last file, as a refresh finds them."""
+        return self.snapshots.filter(F.col("snap") < LAST_SNAPSHOT)
+
     def snapshot_components(self) -> DataFrame:
         """Snapshots with components as lists that name the snapshot they came from."""
 

@@ -10,6 +10,7 @@ import re
 from mergelens.functions import rules as R
 from mergelens.functions import text as X
 from mergelens.operators import similarity as S
+from mergelens.operators import stats as ST
 from mergelens.plans import fixtures as FX
 from mergelens.plans import queries as Q
 
@@ -149,6 +150,10 @@ PARTS["fx_latest"] = """
 SELECT * FROM fx_snapshot
 QUALIFY row_number() OVER (PARTITION BY repository_name, id ORDER BY mtime DESC) = 1"""
 
+PARTS["fx_prior"] = f"""
+SELECT * FROM fx_snapshot WHERE snap < {FX.LAST_SNAPSHOT}
+QUALIFY row_number() OVER (PARTITION BY repository_name, id ORDER BY mtime DESC) = 1"""
+
 PARTS["fx_merged"] = """
 SELECT repository_name, id, max(snap) AS snap,
   max(CASE WHEN has_commits THEN snap END) AS commits_from,
@@ -167,7 +172,7 @@ PARTS["fx_needs"] = """
 SELECT p.id, s.id IS NULL AS is_new, NOT coalesce(s.has_commits, false) AS need_commits,
   NOT coalesce(s.has_comments, false) AS need_comments,
   NOT coalesce(s.has_files, false) AS need_files
-FROM fx_head p LEFT JOIN fx_latest s ON p.repository_name = s.repository_name AND p.id = s.id"""
+FROM fx_head p LEFT JOIN fx_prior s ON p.repository_name = s.repository_name AND p.id = s.id"""
 
 # Classification as a join of texts with the rule table.
 
@@ -368,6 +373,25 @@ SELECT m.*, s.change_type, s.top / 100 AS change_type_confidence,
 FROM measured m JOIN scored s ON m.id = s.id JOIN fx_pr b ON m.id = b.id
 LEFT JOIN tag_names t ON m.id = t.id"""
 
+PARTS["save_counts"] = f"""
+SELECT repository_name, count(*) AS total_prs,
+  {", ".join(f"CAST(sum({m}) AS DOUBLE) AS s_{n}" for m, n in zip(ST.MEASURES, ST.MEASURE_NAMES))}
+FROM nested GROUP BY repository_name"""
+PARTS["save_values"] = f"""
+SELECT repository_name, 'repository_distribution' AS metric, repository_name AS key,
+  CAST(total_prs AS DOUBLE) AS value FROM save_counts
+UNION ALL SELECT repository_name, 'change_type_distribution', change_type, count(*) FROM nested
+  GROUP BY repository_name, change_type
+UNION ALL SELECT repository_name, 'language_distribution', language, count(*)
+  FROM nested JOIN fx_repo_language USING (repo_key) GROUP BY repository_name, language
+UNION ALL SELECT repository_name, 'top_authors', author, n FROM (
+  SELECT repository_name, author, count(*) AS n FROM nested GROUP BY repository_name, author
+  QUALIFY row_number() OVER (PARTITION BY repository_name ORDER BY count(*) DESC, author) <= 10)
+{" ".join(
+    f"UNION ALL SELECT repository_name, 'aggregate_stats', 'total_{n}', s_{n} FROM save_counts "
+    f"UNION ALL SELECT repository_name, 'aggregate_stats', 'avg_{n}_per_pr', s_{n} / total_prs "
+    "FROM save_counts" for n in ST.MEASURE_NAMES)}"""
+
 
 def with_parts(body: str) -> str:
     """The query text with every subquery it needs in front, in definition order."""
@@ -415,6 +439,18 @@ FROM fx_latest"""
 _STATE = "SELECT * FROM fx_state"
 _MERGED = "SELECT * FROM fx_merged"
 
+_CONTENTS = f"""
+SELECT id, repository_url, repository_name, repository_full_name, repository_stars,
+  repository_forks, title, change_type, change_type_confidence, pr_number, pr_state, created_at,
+  updated_at, merged_at, author, draft, {", ".join(_MEASURES)}, md5(description) AS description_md5,
+  repository_language, tags, reasons, true AS files_updated"""
+
+
+def _digest(*columns: str) -> str:
+    joined = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return f"md5({joined}) AS content"
+
+
 _BODIES: dict[str, str] = {
     "repo_select": f"""
 SELECT full_name AS repository_full_name, stars AS repository_stars FROM fx_repo
@@ -635,6 +671,22 @@ SELECT count(*) AS total_prs, false AS is_incremental_save, true AS is_final_sav
 GROUP BY repository_name, change_type""",
     "scan_envelope": _STORED,
     "sink_json": _STORED,
+    "scan_any_layout": f"{_CONTENTS}, 0 AS rejected FROM nested",
+    "document_records": f"{_CONTENTS} FROM nested",
+    "document_children": f"""
+SELECT pr_number, 'commit' AS part, sha AS key, {_digest("message", "author", "date")}
+FROM fx_last_commit
+UNION ALL
+SELECT pr_number, 'comment', CAST(rank - 1 AS VARCHAR),
+  {_digest("id", "body", "author", "date", "type", "position")}
+FROM fx_comment_ranked WHERE rank <= 100 AND pr_number IN (SELECT pr_number FROM fx_head)
+UNION ALL
+SELECT pr_number, 'file', CAST(rank - 1 AS VARCHAR),
+  {_digest("filename", "status", "additions", "deletions", "changes", _cut_patch)}
+FROM fx_file_kept""",
+    "document_statistics": """
+SELECT repository_name, total_prs, true AS is_final_save, metric, key, value
+FROM save_values JOIN save_counts USING (repository_name)""",
     "sink_csv": """
 SELECT id, repository_language, title, nullif(tags, '') AS tags, commits_count, comments_count,
   files_count, additions, pr_number, author, draft FROM nested""",
@@ -650,6 +702,8 @@ FROM fx_repo JOIN fx_repo_language USING (repo_key) WHERE NOT is_archived
 UNION ALL SELECT full_name, NULL, 'ValueError: archived' FROM fx_repo WHERE is_archived""",
     "stream_ingest": _LATEST,
     "stream_upsert": _MERGED,
+    "stream_versions": _MERGED,
+    "file_ledger": "SELECT *, 0 AS opened_again FROM fx_merged",
     "stream_state": _STATE,
     "stream_equals_batch": """
 SELECT count(*) AS streamed, count(*) AS batch, 0 AS different FROM fx_latest""",

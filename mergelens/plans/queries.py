@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +18,14 @@ from mergelens.operators import children as C
 from mergelens.operators import classify, select, snapshots, stats
 from mergelens.operators import similarity as N
 from mergelens.operators.assemble import assemble, join_repositories
+from mergelens.operators.merge_state import Merge, fold_merge, merge_state, merged_records
 from mergelens.operators.normalize import POSITION, reject_summary
 from mergelens.plans import extraction, landing
-from mergelens.plans.fixtures import PR, Fixtures
+from mergelens.plans.fixtures import LAST_SNAPSHOT, PR, SNAPSHOTS, Fixtures
 from mergelens.session import new_dir
-from mergelens.sources import envelopes, pages, writers
+from mergelens.sources import documents, envelopes, pages, writers
+from mergelens.sources.json_scan import read_documents
+from mergelens.sources.state_table import StateTable
 from mergelens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +98,10 @@ def _latest(fx: Fixtures) -> DataFrame:
     return snapshots.latest_records(fx.snapshots)
 
 
+def _prior(fx: Fixtures) -> DataFrame:
+    return snapshots.latest_records(fx.prior_snapshots)
+
+
 # Repositories
 
 
@@ -531,18 +539,18 @@ def state_per_repository(fx: Fixtures) -> DataFrame:
 
 @query
 def needs_refresh(fx: Fixtures) -> DataFrame:
-    kept = snapshots.needs_refresh(fx.pull_requests(body=False), _latest(fx))
+    kept = snapshots.needs_refresh(fx.pull_requests(body=False), _prior(fx))
     return kept.select("id", "is_new", "need_commits", "need_comments", "need_files")
 
 
 @query
 def new_only(fx: Fixtures) -> DataFrame:
-    return snapshots.new_only(fx.pull_requests(body=False), _latest(fx)).select("id")
+    return snapshots.new_only(fx.pull_requests(body=False), _prior(fx)).select("id")
 
 
 @query
 def refresh_plan(fx: Fixtures) -> DataFrame:
-    return snapshots.refresh_plan(fx.pull_requests(body=False), _latest(fx))
+    return snapshots.refresh_plan(fx.pull_requests(body=False), _prior(fx))
 
 
 def _merged_columns(df: DataFrame) -> DataFrame:
@@ -557,12 +565,12 @@ def _merged_columns(df: DataFrame) -> DataFrame:
 
 @query
 def snapshot_merge(fx: Fixtures) -> DataFrame:
-    """The third file merged into the merge of the first two."""
+    """Every file merged into the merge of those before it."""
     parts = fx.snapshot_components()
-    held = [parts.filter(F.col("snap") == number) for number in (1, 2, 3)]
-    kept = {"change_type": ()}
-    earlier = snapshots.merge_snapshots(held[0], held[1], kept=kept)
-    return _merged_columns(snapshots.merge_snapshots(earlier, held[2], kept=kept))
+    first, *later = [parts.filter(F.col("snap") == number) for number, *_ in SNAPSHOTS]
+    for new in later:
+        first = snapshots.merge_snapshots(first, new, kept={"change_type": ()})
+    return _merged_columns(first)
 
 
 @query
@@ -577,9 +585,9 @@ def snapshot_history(fx: Fixtures) -> DataFrame:
 
 @query
 def state_update(fx: Fixtures) -> DataFrame:
-    """State of the first two files, updated by the third."""
-    first = snapshots.fold_state(fx.snapshots.filter(F.col("snap") < 3))
-    return snapshots.update_state(first, fx.snapshots.filter(F.col("snap") == 3))
+    """State of the prior files, updated by the last."""
+    first = snapshots.fold_state(fx.prior_snapshots)
+    return snapshots.update_state(first, fx.snapshots.filter(F.col("snap") == LAST_SNAPSHOT))
 
 
 @query
@@ -671,6 +679,105 @@ def sink_json(fx: Fixtures) -> DataFrame:
     return _stored_summary(envelopes.read_records(fx.spark, target, "json"))
 
 
+def _contents(records: DataFrame) -> DataFrame:
+    """Every field of a record that is no component; long texts as digests."""
+    return stats.with_measures(records).select(
+        "id", "repository_url", "repository_name", "repository_full_name", "repository_stars",
+        "repository_forks", "title", "change_type", "change_type_confidence", "pr_number",
+        "pr_state", "created_at", "updated_at", "merged_at", "author", "draft", *stats.MEASURES,
+        F.md5("description").alias("description_md5"),
+        X.join_with("|", F.col("repository_language")).alias("repository_language"),
+        X.join_with("|", F.col("tags")).alias("tags"),
+        F.size("change_type_reasons").alias("reasons"),
+        F.col("components_updated.files").alias("files_updated"),
+    )
+
+
+@query
+def scan_any_layout(fx: Fixtures) -> DataFrame:
+    """Documents on one line or indented, a file each, read record by record in splits."""
+    target = new_dir(fx.spark, "layouts")
+    plain, pretty = ({"ignoreNullFields": "false"} | more for more in ({}, {"pretty": "true"}))
+    document = F.struct("metadata", "data")
+    one_line = F.xxhash64("metadata.batch_name") % 2 == 0
+    writers.to_envelopes(_nested(fx), BATCH).select(
+        F.col("metadata.batch_name").alias("save"),
+        F.when(one_line, F.to_json(document, plain)).otherwise(F.to_json(document, pretty)).alias("value"),
+    ).write.partitionBy("save").text(target)
+    records, rejects = read_documents(fx.spark, target, "part-*")
+    return _contents(records).withColumn("rejected", F.lit(rejects.count()))
+
+
+def _saved(fx: Fixtures, final: bool) -> str:
+    """Documents of all records, from a stored table; the folder they are in."""
+    stored, target = new_dir(fx.spark, "stored"), new_dir(fx.spark, "documents")
+    _nested(fx).write.parquet(stored)
+    records = fx.spark.read.parquet(stored)
+    saves = documents.final_saves(records) if final else documents.batch_saves(records, BATCH)
+    documents.write_documents(saves, target, incremental=not final, final=final)
+    return target
+
+
+@query
+def document_records(fx: Fixtures) -> DataFrame:
+    """Saves of 300 records written as documents; every record read back."""
+    return _contents(read_documents(fx.spark, _saved(fx, final=False), "part-*")[0])
+
+
+@query
+def document_children(fx: Fixtures) -> DataFrame:
+    """Every commit, comment and file of final documents read back; texts as digests."""
+    back = read_documents(fx.spark, _saved(fx, final=True), "part-*")[0]
+
+    def texts(*columns: str) -> Column:
+        return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]))
+
+    commits = each_entry(back, ["pr_number"], F.col("commits"), "key", "_c").select(
+        "pr_number", F.lit("commit").alias("part"), "key",
+        texts("_c.commit_message", "_c.author", "_c.date").alias("content"),
+    )
+    comments = each_at(back, ["pr_number"], F.col("pr_comments"), "pos", "_c").select(
+        "pr_number", F.lit("comment").alias("part"), F.col("pos").cast("string").alias("key"),
+        texts("_c.id", "_c.body", "_c.author", "_c.date", "_c.type", "_c.position").alias("content"),
+    )
+    files = each_at(back, ["pr_number"], F.col("files"), "pos", "_f").select(
+        "pr_number", F.lit("file").alias("part"), F.col("pos").cast("string").alias("key"),
+        texts(
+            "_f.filename", "_f.status", "_f.additions", "_f.deletions", "_f.changes", "_f.patch"
+        ).alias("content"),
+    )
+    return commits.unionByName(comments).unionByName(files)
+
+
+@query
+def document_statistics(fx: Fixtures) -> DataFrame:
+    """The statistics inside the final documents, one row per value."""
+    lines = fx.spark.read.text(_saved(fx, final=True)).filter(F.col("value").startswith('{"metadata"'))
+    counts = "MAP<STRING, DOUBLE>"
+    names = (
+        "repository_distribution", "language_distribution", "change_type_distribution",
+        "top_authors", "aggregate_stats",
+    )
+    inner = ", ".join(f"{name}: {counts}" for name in names)
+    parsed = lines.select(
+        "save",
+        F.from_json(
+            F.concat("value", F.lit("]}")),
+            f"metadata STRUCT<total_prs: BIGINT, is_final_save: BOOLEAN, statistics: STRUCT<{inner}>>",
+        )["metadata"].alias("meta"),
+    )
+    metrics = F.create_map(*[x for n in names for x in (F.lit(n), F.col("meta.statistics")[n])])
+    return (
+        parsed.select(
+            F.regexp_extract("save", "^(.*)_final_", 1).alias("repository_name"),
+            F.col("meta.total_prs").alias("total_prs"),
+            F.col("meta.is_final_save").alias("is_final_save"),
+            F.explode(metrics).alias("metric", "held"),
+        )
+        .select("repository_name", "total_prs", "is_final_save", "metric", F.explode("held").alias("key", "value"))
+    )
+
+
 @query
 def sink_csv(fx: Fixtures) -> DataFrame:
     """The flat form written as CSV and read back."""
@@ -781,6 +888,41 @@ def stream_upsert(fx: Fixtures) -> DataFrame:
     return _merged_columns(merged)
 
 
+def _versions(fx: Fixtures) -> tuple[StateTable, Callable[[DataFrame], DataFrame], Merge]:
+    merge = Merge(kept={"change_type": ()})
+    table = StateTable(
+        fx.spark, new_dir(fx.spark, "versions"), merge.key, partial(fold_merge, merge=merge), buckets=16
+    )
+    return table, lambda rows: merge_state(rows, F.struct("mtime", "snap"), merge), merge
+
+
+@query
+def stream_versions(fx: Fixtures) -> DataFrame:
+    """Snapshots folded batch by batch into a versioned table; its newest version."""
+    table, state, merge = _versions(fx)
+    parts = fx.snapshot_components()
+    checkpoint = new_dir(fx.spark, "versions-checkpoint")
+    ingest.run_to_end(table.upsert_stream(_landed_stream(fx, parts), checkpoint, state))
+    return _merged_columns(merged_records(table.read(), parts.columns, merge))
+
+
+@query
+def file_ledger(fx: Fixtures) -> DataFrame:
+    """Result files ingested as they come, newest first; a further run opens none."""
+    table, state, merge = _versions(fx)
+    landed, parts = new_dir(fx.spark, "files"), fx.snapshot_components()
+
+    def run() -> int:
+        read = fx.spark.read.schema(parts.schema)
+        return table.ingest_files(landed, lambda paths: state(read.parquet(*paths)), "*.parquet")
+
+    for number, *_ in reversed(SNAPSHOTS):
+        parts.filter(F.col("snap") == number).write.parquet(f"{landed}/{number}")
+        run()
+    merged = _merged_columns(merged_records(table.read(), parts.columns, merge))
+    return merged.withColumn("opened_again", F.lit(run()))
+
+
 @query
 def stream_state(fx: Fixtures) -> DataFrame:
     target, checkpoint = new_dir(fx.spark, "state"), new_dir(fx.spark, "state-checkpoint")
