@@ -21,7 +21,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("coverage", "distinct"):
         report = commands.add_parser(name, help=f"{name} report over result files")
         report.add_argument("path")
-        report.add_argument("--format", default="envelope", choices=("envelope", "indented", "parquet", "json"))
+        report.add_argument("--format", default="envelope", choices=("envelope", "document", "indented", "parquet", "json"))
         report.add_argument("--save", help="folder for the report as JSON")
     return parser
 

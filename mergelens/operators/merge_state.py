@@ -74,3 +74,24 @@ def merged_records(state: DataFrame, columns: Sequence[str], merge: Merge) -> Da
         return F.col("newest")[name].alias(name)
 
     return state.select(*[found(name) for name in columns])
+
+
+def merge_pair(old: DataFrame, new: DataFrame, merge: Merge) -> DataFrame:
+    """``fold_merge`` of two folded states as a join on the key, so that neither side is grouped again."""
+    key, columns = list(merge.key), [c for c in old.columns if c not in merge.key]
+    left = old.select(*key, *[F.col(c).alias(f"_old_{c}") for c in columns])
+    right = new.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    both = left.join(right, key, "full_outer")
+
+    def chosen(name: str) -> Column:
+        before, after = F.col(f"_old_{name}"), F.col(f"_new_{name}")
+        if name.startswith("part_"):
+            rank = lambda value: F.struct(value["full"], value["at"])
+            later = rank(after) > rank(before)
+        elif name.startswith("first_"):
+            later = after["at"] < before["at"]
+        else:
+            later = after["at"] > before["at"]
+        return F.when(before.isNull() | (after.isNotNull() & later), after).otherwise(before).alias(name)
+
+    return both.select(*key, *[chosen(c) for c in columns])

@@ -538,6 +538,11 @@ SELECT id, files_count FROM measured WHERE files_count >= {Q.MIN_FILES}""",
     "rule_hits": """
 SELECT change_type, source, pattern, count(*) AS hits, CAST(sum(points) AS BIGINT) AS points
 FROM rule_matches GROUP BY change_type, source, pattern""",
+    "rule_index": """
+SELECT doc_id, count(*) AS rules, CAST(sum(length(word)) AS BIGINT) AS letters, min(word) AS first
+FROM documents JOIN (
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS word FROM benchmark)
+ON contains(lower(text), word) GROUP BY doc_id""",
     "change_type": """
 SELECT id, points_fix, points_feature, points_doc, change_type, top / 100 AS confidence,
   n + CASE WHEN top < 60 THEN 1 ELSE 0 END AS reason_count FROM scored""",
@@ -592,6 +597,7 @@ GROUP BY language""",
 SELECT change_type, count(*) AS count, sum(top) / 100 / count(*) AS avg_confidence FROM scored
 GROUP BY change_type""",
     "top_authors": _top("fx_head", "author", 10),
+    "top_authors_sketched": _top("fx_head", "author", 10),
     "top_authors5": _top("fx_snapshot", "author", 5),
     "top_repos": _top("fx_snapshot", "repository_full_name", 5),
     "repo_summary": _distribution("fx_head", "repository_name"),
@@ -622,6 +628,9 @@ UNION ALL SELECT 'top_authors', author, count FROM ({_top("fx_head", "author", 1
     "distinct_per_repo": """
 SELECT repository_name, count(DISTINCT id) AS unique_prs FROM fx_snapshot
 GROUP BY repository_name""",
+    "distinct_sketches": """
+SELECT repository_name, count(*) AS rows, count(DISTINCT id) AS unique_prs, true AS near
+FROM fx_snapshot GROUP BY repository_name""",
     "distinct_totals": """
 SELECT count(*) AS total_repositories, CAST(sum(n) AS BIGINT) AS total_prs FROM (
   SELECT repository_name, count(DISTINCT id) AS n FROM fx_snapshot GROUP BY repository_name)""",
@@ -649,6 +658,10 @@ SELECT count(*) FILTER (WHERE is_new) AS new_prs,
     "snapshot_merge": _MERGED,
     "snapshot_history": _MERGED,
     "state_update": _STATE,
+    "merge_bucketed": _MERGED,
+    "compact_planned": """
+SELECT repository_name, id, snap, has_commits, has_comments, has_files, 0 AS lost, true AS fewer
+FROM fx_snapshot""",
     "compact": _LATEST,
     "batch_assign": f"""
 SELECT repository_name, id, batch, batches,
@@ -669,6 +682,14 @@ SELECT count(*) AS total_prs, false AS is_incremental_save, true AS is_final_sav
   SELECT repo_key FROM fx_repo WHERE NOT is_fork AND NOT is_archived
   ORDER BY stars DESC, full_name LIMIT {Q.EXTRACTED_REPOSITORIES})
 GROUP BY repository_name, change_type""",
+    "extraction_rejects": """
+SELECT 'pull_requests' AS listing, 'missing number' AS reject_reason, count(*) AS count
+FROM fx_head WHERE pr_number % 11 = 0
+UNION ALL SELECT 'commits', 'unreadable page', count(*)
+FROM fx_commit JOIN fx_head USING (pr_number) WHERE pr_number % 13 = 0
+UNION ALL SELECT 'files', 'missing filename', count(*)
+FROM fx_file JOIN fx_head USING (pr_number) WHERE pr_number % 17 = 0
+UNION ALL SELECT 'records', 'kept', count(*) FROM fx_head WHERE pr_number % 11 <> 0""",
     "scan_envelope": _STORED,
     "sink_json": _STORED,
     "scan_any_layout": f"{_CONTENTS}, 0 AS rejected FROM nested",
@@ -690,6 +711,9 @@ FROM save_values JOIN save_counts USING (repository_name)""",
     "sink_csv": """
 SELECT id, repository_language, title, nullif(tags, '') AS tags, commits_count, comments_count,
   files_count, additions, pr_number, author, draft FROM nested""",
+    "timestamps": """
+SELECT id, CASE WHEN pr_number % 3 <> 0 THEN CAST(epoch(CAST(created_at AS TIMESTAMP)) AS BIGINT) END AS created,
+  CAST(epoch(CAST(merged_at AS TIMESTAMP)) AS BIGINT) AS merged FROM fx_head""",
     "scan_quarantine": """
 SELECT CASE WHEN pr_number % 2 = 1 THEN 'unreadable' ELSE 'record' END AS kind, count(*) AS count
 FROM fx_snapshot GROUP BY 1""",
@@ -703,10 +727,25 @@ UNION ALL SELECT full_name, NULL, 'ValueError: archived' FROM fx_repo WHERE is_a
     "stream_ingest": _LATEST,
     "stream_upsert": _MERGED,
     "stream_versions": _MERGED,
+    "stream_distinct": """
+SELECT event_type, count(*) AS deliveries, count(DISTINCT event_id) AS ids FROM events
+GROUP BY event_type""",
     "file_ledger": "SELECT *, 0 AS opened_again FROM fx_merged",
     "stream_state": _STATE,
     "stream_equals_batch": """
 SELECT count(*) AS streamed, count(*) AS batch, 0 AS different FROM fx_latest""",
 }
 
+_BODIES["csv_side_outputs"] = f"""
+SELECT metric, key, value FROM ({_BODIES["statistics"]})
+UNION ALL SELECT 'metadata', 'total_prs', CAST(count(*) AS DOUBLE) FROM fx_head
+UNION ALL SELECT 'metadata', 'batch_size', {Q.BATCH}
+UNION ALL SELECT 'csv', 'rows', count(*) FROM fx_head"""
+_BODIES["report_files"] = f"""
+SELECT 'coverage' AS report, key, CAST(value AS DOUBLE) AS value FROM (
+  UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({_BODIES["coverage_pct"]}))
+  ON COLUMNS(*) INTO NAME key VALUE value)
+UNION ALL SELECT 'top_repositories', repository_full_name, count FROM ({_BODIES["top_repos"]})
+UNION ALL SELECT 'top_authors', author, count FROM ({_BODIES["top_authors5"]})"""
+
 ORACLES: dict[str, str] = {name: with_parts(body) for name, body in _BODIES.items()}

@@ -15,15 +15,19 @@ from mergelens.functions import text as X
 from mergelens.functions.arrays import each, each_at, each_entry
 from mergelens.operators import apply as A
 from mergelens.operators import children as C
-from mergelens.operators import classify, select, snapshots, stats
+from mergelens.operators import classify, select, sketches, snapshots, stats
 from mergelens.operators import similarity as N
 from mergelens.operators.assemble import assemble, join_repositories
 from mergelens.operators.merge_state import Merge, fold_merge, merge_state, merged_records
-from mergelens.operators.normalize import POSITION, reject_summary
+from mergelens.operators.normalize import POSITION, reject_summary, with_timestamps
+from mergelens.operators.rule_index import rule_matches
 from mergelens.plans import extraction, landing
 from mergelens.plans.fixtures import LAST_SNAPSHOT, PR, SNAPSHOTS, Fixtures
+from mergelens.plans.reports import coverage_report, write_report
 from mergelens.session import new_dir
 from mergelens.sources import documents, envelopes, pages, writers
+from mergelens.sources.bucketed_state import BucketedState
+from mergelens.sources.compaction import FileSet
 from mergelens.sources.json_scan import read_documents
 from mergelens.sources.state_table import StateTable
 from mergelens.streaming import ingest
@@ -48,6 +52,7 @@ STOP_WORDS = (
 )
 MAX_TERMS = 1000
 EXTRACTED_REPOSITORIES = 10
+SMALL_FILES = 32 << 20
 
 
 def query(function: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -313,6 +318,19 @@ def rule_hits(fx: Fixtures) -> DataFrame:
     return classify.count_rule_hits(fx.pull_requests(), fx.commits, PR)
 
 
+@query
+def rule_index(fx: Fixtures) -> DataFrame:
+    """Every longer word of the benchmark as a substring rule over all documents."""
+    words = fx.table("benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{5,})"), 1)).alias("pattern")
+    ).distinct()
+    texts = fx.spread("documents", "doc_id").select("doc_id", F.lower("text").alias("text"))
+    found = rule_matches(texts, "doc_id", "text", words.select(F.col("pattern").alias("rule"), "pattern"))
+    return found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rules"), F.sum(F.length("rule")).alias("letters"), F.min("rule").alias("first")
+    )
+
+
 @query
 def change_type(fx: Fixtures) -> DataFrame:
     return _scored(fx).select(
@@ -496,6 +514,26 @@ def distinct_per_repo(fx: Fixtures) -> DataFrame:
     return stats.distinct_per_repository(fx.snapshots)
 
 
+@query
+def distinct_sketches(fx: Fixtures) -> DataFrame:
+    """Distinct ids per repository from sketches kept per file, beside the exact count."""
+    kept = new_dir(fx.spark, "sketches")
+    sketches.distinct_sketches(fx.snapshots, ["file", "repository_name"]).write.parquet(kept)
+    found = sketches.distinct_counts(fx.spark.read.parquet(kept), ["repository_name"])
+    near = F.abs(F.col("distinct") - F.col("unique_prs")) <= 0.05 * F.col("unique_prs")
+    return found.join(distinct_per_repo(fx), "repository_name").select(
+        "repository_name", "rows", "unique_prs", near.alias("near")
+    )
+
+
+@query
+def top_authors_sketched(fx: Fixtures) -> DataFrame:
+    """The top authors from sketches kept per repository, counted exactly in a second pass."""
+    records, kept = fx.pull_requests(body=False), new_dir(fx.spark, "frequent")
+    sketches.frequent_sketches(records, ["repository_name"]).write.parquet(kept)
+    return sketches.top_of_sketches(fx.spark.read.parquet(kept), records, 10)
+
+
 @query
 def distinct_totals(fx: Fixtures) -> DataFrame:
     return stats.distinct_totals(fx.snapshots)
@@ -597,6 +635,31 @@ def compact(fx: Fixtures) -> DataFrame:
     return _snapshot_columns(fx.spark.read.parquet(target))
 
 
+@query
+def compact_planned(fx: Fixtures) -> DataFrame:
+    """Every file added as a save, then small files packed; the rows, and whether others kept their names."""
+    held = FileSet(fx.spark, new_dir(fx.spark, "file-set"))
+    for number, *_ in SNAPSHOTS:
+        held.add(fx.snapshots.filter(F.col("snap") == number))
+    stay = held.files().join(held.plan(SMALL_FILES).select("path"), "path", "left_anti").select("path")
+    version = held.version()
+    held.compact(SMALL_FILES)
+    lost = stay.join(held.files().select("path"), "path", "left_anti").count()
+    fewer = held.files().count() < held.files(version).count()
+    return _snapshot_columns(held.read()).withColumns({"lost": F.lit(lost), "fewer": F.lit(fewer)})
+
+
+@query
+def merge_bucketed(fx: Fixtures) -> DataFrame:
+    """Every file merged into a state that stays in its buckets."""
+    merge, parts = Merge(kept={"change_type": ()}), fx.snapshot_components()
+    state = BucketedState(fx.spark, new_dir(fx.spark, "bucketed"), merge, buckets=8)
+    for number, *_ in SNAPSHOTS:
+        new = parts.filter(F.col("snap") == number)
+        state.merge(merge_state(new, F.struct("mtime", "snap"), merge))
+    return _merged_columns(merged_records(state.read(), parts.columns, merge))
+
+
 @query
 def batch_assign(fx: Fixtures) -> DataFrame:
     batched = snapshots.assign_batches(
@@ -651,6 +714,41 @@ def extraction_run(fx: Fixtures) -> DataFrame:
     )
 
 
+@query
+def extraction_rejects(fx: Fixtures) -> DataFrame:
+    """Pages landed with faults: numbers missing, commit pages cut in half, files without name.
+
+    What the job rejects, by listing and reason, and what it keeps.
+    """
+    landed, output = new_dir(fx.spark, "faulty"), new_dir(fx.spark, "faulty-extraction")
+
+    def faulty(name: str, frame: DataFrame) -> DataFrame:
+        number, body = F.col("page" if name == "pull_requests" else "pr_number"), F.col("body")
+        if name == "pull_requests":
+            named = F.concat(F.lit('"number":'), number.cast("string"), F.lit(","))
+            body = F.when(number % 11 == 0, F.replace(body, named, F.lit(""))).otherwise(body)
+        elif name == "commits":
+            half = F.left(body, (F.length(body) / 2).cast("int"))
+            body = F.when(number % 13 == 0, half).otherwise(body)
+        elif name == "files":
+            unnamed = F.replace(body, F.lit('"filename":'), F.lit('"name":'))
+            body = F.when(number % 17 == 0, unnamed).otherwise(body)
+        return frame.withColumn("body", body)
+
+    landing.land_all(fx, landed, faulty)
+    config = ExtractionConfig(
+        top_n_repositories=1_000, exclude_forks=False, exclude_archived=False, pr_state="all"
+    )
+    target = extraction.run_extraction(fx.spark, landed, output, "run1", config)
+    rejects = fx.spark.read.json(f"{output}/rejects").groupBy("listing", "reject_reason").agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    kept = fx.spark.read.parquet(target).agg(F.count(F.lit(1)).alias("count")).select(
+        F.lit("records").alias("listing"), F.lit("kept").alias("reject_reason"), "count"
+    )
+    return rejects.unionByName(kept)
+
+
 # Sources and sinks
 
 
@@ -797,6 +895,63 @@ def sink_csv(fx: Fixtures) -> DataFrame:
     )
 
 
+@query
+def csv_side_outputs(fx: Fixtures) -> DataFrame:
+    """What a CSV save writes beside the flat form: metadata and statistics, read back."""
+    target = new_dir(fx.spark, "csv-save")
+    config = ExtractionConfig(output_format="csv", batch_size=BATCH)
+    writers.write_save(_nested(fx), target, config, final=True, name="all")
+    held = fx.spark.read.schema("metric STRING, key STRING, value DOUBLE").json(f"{target}/statistics")
+    meta = fx.spark.read.schema(
+        "total_prs BIGINT, is_final_save BOOLEAN, batch_name STRING, configuration STRUCT<batch_size: BIGINT>"
+    ).json(f"{target}/metadata")
+    counted = fx.spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(
+        f"{target}/csv"
+    ).agg(F.count("id").cast("double").alias("value"))
+    return (
+        held.unionByName(
+            meta.filter("is_final_save AND batch_name = 'all'").select(
+                F.lit("metadata").alias("metric"),
+                F.explode(
+                    F.create_map(
+                        F.lit("total_prs"), F.col("total_prs").cast("double"),
+                        F.lit("batch_size"), F.col("configuration.batch_size").cast("double"),
+                    )
+                ).alias("key", "value"),
+            )
+        ).unionByName(counted.select(F.lit("csv").alias("metric"), F.lit("rows").alias("key"), "value"))
+    )
+
+
+@query
+def report_files(fx: Fixtures) -> DataFrame:
+    """The coverage report written as JSON and read back, one row per value."""
+    target = new_dir(fx.spark, "report")
+    write_report(coverage_report(fx.snapshots), target)
+    one = fx.spark.read.json(f"{target}/coverage")
+    counts = one.select(F.explode(F.map_from_arrays(
+        F.array(*map(F.lit, one.columns)), F.array(*[F.col(c).cast("double") for c in one.columns])
+    )).alias("key", "value")).select(F.lit("coverage").alias("report"), "key", "value")
+    for name, key in (("top_repositories", "repository_full_name"), ("top_authors", "author")):
+        rows = fx.spark.read.json(f"{target}/{name}")
+        counts = counts.unionByName(
+            rows.select(F.lit(name).alias("report"), F.col(key).alias("key"), F.col("count").cast("double").alias("value"))
+        )
+    return counts
+
+
+@query
+def timestamps(fx: Fixtures) -> DataFrame:
+    """Text dates as typed times; every third one is unreadable and becomes null."""
+    prs = fx.pull_requests(body=False).withColumn(
+        "created_at", F.when(F.col("pr_number") % 3 == 0, F.concat(F.lit("x"), "created_at")).otherwise(F.col("created_at"))
+    )
+    typed = with_timestamps(prs.select("id", "created_at", "merged_at"), "created_at", "merged_at")
+    return typed.select(
+        "id", F.unix_seconds("created_at_ts").alias("created"), F.unix_seconds("merged_at_ts").alias("merged")
+    )
+
+
 @query
 def scan_quarantine(fx: Fixtures) -> DataFrame:
     """Half of the result documents are cut in half: they are quarantined, the others read."""
@@ -923,6 +1078,31 @@ def file_ledger(fx: Fixtures) -> DataFrame:
     return merged.withColumn("opened_again", F.lit(run()))
 
 
+@query
+def stream_distinct(fx: Fixtures) -> DataFrame:
+    """Comments delivered twice, the second time a slice later; each is kept once.
+
+    Memory of ids is bounded by the time a repeat may be late, here two of six slices.
+    """
+    landed, target = new_dir(fx.spark, "deliveries"), new_dir(fx.spark, "distinct")
+    events = fx.table("events").select(
+        F.col("event_id").cast("string").alias("id"), "event_type", F.col("ts").cast("timestamp").alias("ts")
+    )
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    width = (high - low).total_seconds() / 6 + 1
+    slot = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(low))) / (width * 1e6))
+    placed = events.withColumn("slot", slot)
+    for number in range(7):
+        both = placed.filter(F.col("slot").isin(number, number - 1)).drop("slot")
+        both.write.parquet(f"{landed}/{number}")
+    stream = ingest.read_result_stream(fx.spark, landed, events.schema, files_per_trigger=8)
+    once = ingest.without_repeats(stream, ["id"], "ts", f"{int(2 * width) + 1} seconds")
+    ingest.run_to_end(ingest.start_append(once, target, new_dir(fx.spark, "distinct-checkpoint")))
+    return ingest.read_batches(fx.spark, target).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("deliveries"), F.count_distinct("id").alias("ids")
+    )
+
+
 @query
 def stream_state(fx: Fixtures) -> DataFrame:
     target, checkpoint = new_dir(fx.spark, "state"), new_dir(fx.spark, "state-checkpoint")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mergelens.operators import stats
 from mergelens.sources import envelopes as E
+from mergelens.sources.json_scan import read_documents
 
 
 def coverage_report(records: DataFrame) -> dict[str, DataFrame]:
@@ -26,8 +27,13 @@ def distinct_report(records: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_results(spark: SparkSession, path: str, file_format: str, named: bool) -> DataFrame:
-    """Records of envelope or indented files, or of Parquet or JSON lines with one record per row."""
+    """Records of envelope or indented files, or of Parquet or JSON lines with one record per row.
+
+    ``document`` reads JSON documents of any layout and size, whatever the files are called.
+    """
     pattern = E.ENVELOPE_PATTERN if named else None
+    if file_format == "document":
+        return read_documents(spark, path, "*", pattern)[0]
     if file_format == "indented":
         return E.read_indented(spark, path, name_pattern=pattern)[0]
     if file_format != "envelope":

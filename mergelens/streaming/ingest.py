@@ -75,6 +75,15 @@ def start_append(stream: DataFrame, target: str, checkpoint: str) -> StreamingQu
     return _start(stream, lambda batch: batch, target, checkpoint, "append")
 
 
+def without_repeats(stream: DataFrame, key: Sequence[str], time: str, within: str) -> DataFrame:
+    """Each key once, if its repeats come within a span of event time (such as "2 days").
+
+    Keys are remembered until the watermark has passed them, so memory follows the span and not the
+    length of the stream. Rows later than the span are left out, so it must cover the lateness.
+    """
+    return stream.withWatermark(time, within).dropDuplicatesWithinWatermark(list(key))
+
+
 def start_state(
     stream: DataFrame, target: str, checkpoint: str, key: Sequence[str] = KEY
 ) -> StreamingQuery:

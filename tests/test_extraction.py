@@ -235,3 +235,30 @@ def test_minimum_of_files_counts_stored_ones(spark, tmp_path):
     extraction.run_extraction(spark, root, out, "run2", replace(config, include_file_diffs=False))
     (record,) = extraction.stored_records(spark, out).collect()
     assert (len(record.pr_comments), len(record.files)) == (1, 1)
+
+
+def test_document_saves_of_a_run(spark, landing, tmp_path):
+    out = str(tmp_path)
+    config = ExtractionConfig(output_format="document", batch_size=1)
+    extraction.run_extraction(spark, landing, out, "run1", config)
+    stored = rows(extraction.stored_records(spark, out), "id", "title", "files", "pr_comments")
+    for folder in ("documents", "final"):
+        back = reports.read_results(spark, f"{out}/{folder}", "document", False)
+        assert rows(back, "id", "title", "files", "pr_comments") == stored
+    assert len(list(tmp_path.glob("documents/run=run1/save=*/part-*"))) == 3
+    names = {p.name for p in tmp_path.glob("final/run=run1/save=*")}
+    assert names == {"save=r_final_1_of_1", "save=s_final_1_of_1"}
+
+
+def test_pull_requests_without_number_are_rejected_once_each(spark, landing, tmp_path):
+    """Several in one repository: none is selected, and their rejects do not multiply."""
+    faulty = str(tmp_path / "landing")
+    for name in ("repositories", "languages", "commits", "issue_comments", "review_comments", "files"):
+        spark.read.parquet(f"{landing}/{name}").write.parquet(f"{faulty}/{name}")
+    items = [_pr(1), *({**_pr(n), "number": None} for n in (2, 3, 4, 5))]
+    spark.createDataFrame([("o/r", None, 1, json.dumps(items))], KEYS).write.parquet(f"{faulty}/pull_requests")
+    out = str(tmp_path / "out")
+    extraction.run_extraction(spark, faulty, out, "run1", ExtractionConfig())
+    assert rows(extraction.stored_records(spark, out), "id") == [("o/r_1",)]
+    rejects = spark.read.schema("id string, reject_reason string").json(f"{out}/rejects")
+    assert rows(rejects, "id", "reject_reason") == [(None, "missing number")] * 4

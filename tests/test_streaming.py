@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 
 from mergelens.operators import snapshots as S
@@ -84,3 +86,21 @@ def test_compaction_keeps_the_view(spark, landing, tmp_path):
     ingest.compact_batches(spark, target, compacted, view)
     assert rows(ingest.current_records(spark, compacted)) == rows(
         ingest.current_records(spark, target))
+
+
+def test_memory_of_repeats_stays_flat(spark, tmp_path):
+    """Every record comes again a step later; ids are forgotten once the span has passed."""
+    start = datetime(2024, 1, 1)
+    for step in range(20):
+        made = [(f"{s}-{i}", start + timedelta(hours=s)) for s in (step, step - 1) if s >= 0 for i in range(50)]
+        spark.createDataFrame(made, "id string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "in" / f"{step:02d}"))
+    stream = ingest.read_result_stream(spark, str(tmp_path / "in"), "id string, ts timestamp", files_per_trigger=1)
+    once = ingest.without_repeats(stream, ["id"], "ts", "3 hours")
+    query = ingest.start_append(once, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    ingest.run_to_end(query)
+    got = ingest.read_batches(spark, str(tmp_path / "out"))
+    assert (got.count(), got.select("id").distinct().count()) == (1_000, 1_000)
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert len(held) >= 20
+    # The span before and after the watermark, and the steps it is behind.
+    assert max(held) <= 8 * 50
