@@ -927,7 +927,14 @@ def csv_side_outputs(fx: Fixtures) -> DataFrame:
 def report_files(fx: Fixtures) -> DataFrame:
     """The coverage report written as JSON and read back, one row per value."""
     target = new_dir(fx.spark, "report")
-    write_report(coverage_report(fx.snapshots), target)
+    held = {
+        "commits": "has_commits", "pr_comments": "has_comments", "files": "has_files",
+    }
+    lists = {
+        name: F.when(F.col(flag), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+        for name, flag in held.items()
+    }
+    write_report(coverage_report(fx.snapshots.withColumns(lists).drop(*snapshots.FLAGS)), target)
     one = fx.spark.read.json(f"{target}/coverage")
     counts = one.select(F.explode(F.map_from_arrays(
         F.array(*map(F.lit, one.columns)), F.array(*[F.col(c).cast("double") for c in one.columns])
