@@ -675,7 +675,7 @@ def batch_assign(fx: Fixtures) -> DataFrame:
 
 @query
 def batch_metadata(fx: Fixtures) -> DataFrame:
-    flagged = snapshots.mark_needs(fx.pull_requests(body=False), _latest(fx)).withColumn(
+    flagged = snapshots.mark_needs(fx.pull_requests(body=False), _prior(fx)).withColumn(
         "components_updated",
         F.struct(
             F.col("need_commits").alias("commits"),
