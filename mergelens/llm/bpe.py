@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 from hashlib import sha256
 
@@ -17,10 +19,16 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 #: White space of Unicode, as the tokenizer's expressions take it (fixed values).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: The tokenizer's split (fixed values).
-PIECE = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
-)
+
+
+def piece_pattern(letters: str, numbers: str) -> regex.Pattern:
+    """The tokenizer's split (fixed values), for these letters and numbers of a character class."""
+    return regex.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{SPACE}{letters}{numbers}]+"
+    )
+
+
+PIECE = piece_pattern(r"\p{L}", r"\p{N}")
 #: Pieces up to so many symbols are merged by scans; the work of a scan grows with the square.
 SCAN = 64
 #: Pieces whose encoding a Python worker keeps between groups of texts, and texts in a group.
@@ -36,6 +44,60 @@ def byte_symbols() -> tuple[str, ...]:
     return tuple(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
+@dataclass(frozen=True)
+class Signs:
+    """Where the Unicode tables of the tokenizer's library differ from those of Python.
+
+    ``odd`` holds the signs that one of them takes for a letter or number, lower-cases or composes
+    in another way; ``letters`` and ``numbers`` are the library's classes, as ranges.
+    """
+
+    odd: frozenset[str]
+    letters: str
+    numbers: str
+
+    @staticmethod
+    @cache
+    def of_library() -> Signs:
+        """The tables of the installed library, asked sign by sign (about two seconds, once a driver)."""
+        from tokenizers import Regex, normalizers, pre_tokenizers
+
+        every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+        joined = "".join(every)
+
+        def ranges(pattern: str) -> tuple[set[str], str]:
+            splitter = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+            members = [s for part, _ in splitter.pre_tokenize_str(joined) for s in part]
+            places = np.array([ord(s) for s in members])
+            breaks = np.flatnonzero(np.diff(places) != 1)
+            starts = places[np.r_[0, breaks + 1]].tolist()
+            stops = places[np.r_[breaks, len(places) - 1]].tolist()
+            text = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, stops, strict=True))
+            return set(members), text
+
+        letters, letter_ranges = ranges(r"\p{L}+")
+        numbers, number_ranges = ranges(r"\p{N}+")
+        lower = normalizers.Lowercase().normalize_str
+        composed = normalizers.NFC().normalize_str
+        odd = letters ^ set(regex.findall(r"\p{L}", joined))
+        odd |= numbers ^ set(regex.findall(r"\p{N}", joined))
+        odd |= {s for s in every if lower(s) != s.lower()}
+        marks = set(regex.findall(r"\p{M}", joined))
+        for sign in marks.union(s for s in every if unicodedata.decomposition(s)):
+            apart = unicodedata.normalize("NFD", sign)
+            # Marks below and above the letter move before or after a mark of another class.
+            for tried in (sign, f"a{sign}\u0323\u0301", f"a\u0301{sign}", apart):
+                if composed(tried) != unicodedata.normalize("NFC", tried):
+                    odd.update(sign, apart)
+        odd |= {s for s in every if not odd.isdisjoint(s.lower())}
+        return Signs(frozenset(odd), letter_ranges, number_ranges)
+
+
+@cache
+def _library_pieces(signs: Signs) -> regex.Pattern:
+    return piece_pattern(signs.letters, signs.numbers)
+
+
 class Vocabulary:
     """Ids, merge ranks and special tokens of a vocabulary with word ends."""
 
@@ -161,8 +223,9 @@ class Vocabulary:
 class Coder:
     """Encodes texts with one vocabulary and keeps what it has found for short pieces."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, signs: Signs | None = None):
         self.vocabulary = vocabulary
+        self.signs = signs or Signs.of_library()
         self.kept: dict[str, tuple[str, int, str]] = {}
         listed = sorted(vocabulary.specials, key=len)[::-1]
         self.special = regex.compile("(" + "|".join(map(regex.escape, listed)) + ")")
@@ -170,10 +233,10 @@ class Coder:
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text in order; a special token stands as itself, after a zero sign."""
         if not any(token in text for token in self.vocabulary.specials):
-            return split(text)
+            return split(text, self.signs)
         out: list[str] = []
         for part in self.special.split(text):
-            out += ["\0" + part] if part in self.vocabulary.specials else split(part)
+            out += ["\0" + part] if part in self.vocabulary.specials else split(part, self.signs)
         return out
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, int, str]]]:
@@ -200,11 +263,21 @@ class Coder:
         return " ".join(tokens[i] for i in ids if i in tokens)
 
 
-def split(text: str) -> list[str]:
-    """The pieces of a text after composing (NFC) and lower-casing sign by sign."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return PIECE.findall(text.lower())
+def split(text: str, signs: Signs) -> list[str]:
+    """The pieces of a text after composing (NFC) and lower-casing sign by sign.
+
+    Texts with signs that Python's tables know otherwise are composed, lower-cased and split by
+    the library's tables.
+    """
+    if text.isascii():
+        return PIECE.findall(text.lower())
+    if signs.odd.isdisjoint(text):
+        composed = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return PIECE.findall(composed.lower())
+    from tokenizers import normalizers
+
+    shown = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str(text)
+    return _library_pieces(signs).findall(shown)
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> str:
@@ -216,8 +289,8 @@ def read_vocabulary(spark: SparkSession, path: str) -> str:
 
 
 @cache
-def _coder(text: str) -> Coder:
-    return Coder(Vocabulary(text))
+def _coder(text: str, signs: Signs) -> Coder:
+    return Coder(Vocabulary(text), signs)
 
 
 def encode_texts(
@@ -228,12 +301,14 @@ def encode_texts(
     Whole texts are encoded; null counts as empty (no tokens, the hashes of the empty text). The
     decoded text is the tokens of the ids joined by a space, special tokens included. Rows are
     coded one by one, so repeated rows and an empty table need no care; other columns than ``keep``
-    and text are not read. The vocabulary has a fixed size and is broadcast once.
+    and text are not read. The vocabulary and the tables of signs have a fixed size and are
+    broadcast once.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(docs.sparkSession, path))
+    fixed = read_vocabulary(docs.sparkSession, path), Signs.of_library()
+    shared = docs.sparkSession.sparkContext.broadcast(fixed)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary.value)
+        coder = _coder(*shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(start, TEXTS)

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from mergelens.llm.bpe import SCAN, Coder, Vocabulary, encode_texts
+from mergelens.llm.bpe import SCAN, Coder, Signs, Vocabulary, encode_texts
 from mergelens.llm.queries import vocabulary_path
 from tests.conftest import SF_SMALL
 from tests.llm.fixtures import documents, odd_texts
@@ -43,6 +43,32 @@ def test_equals_the_library(spark, library):
         assert row.decoded_sha256 == sha256(decoded.encode()).hexdigest()
 
 
+def _differing(coder, library, texts):
+    found = coder.encode(texts)
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    return [
+        text
+        for text, pieces, right in zip(texts, found, wanted, strict=True)
+        if [int(i) for piece in pieces for i in piece[0].split()] != right.ids
+    ]
+
+
+def test_every_sign_equals_the_library(coder, library):
+    signs = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(signs), 4000):
+        texts = [f"a{sign}b {sign}" for sign in signs[start : start + 4000]]
+        assert _differing(coder, library, texts) == []
+
+
+def test_runs_of_signs_that_tables_know_otherwise_equal_the_library(coder, library):
+    draw = random.Random(7)
+    odd = sorted(Signs.of_library().odd)
+    plain = [chr(c) for c in [*range(0x3000), *range(0x300, 0x370), *range(0x1AB0, 0x1B00)]]
+    for signs in (odd + plain, sorted(set(plain) - set(odd))):
+        texts = ["".join(draw.choices(signs, k=draw.randrange(1, 12))) for _ in range(3000)]
+        assert _differing(coder, library, texts) == []
+
+
 def test_scan_and_heap_agree(coder):
     draw = random.Random(2)
     words = ["".join(draw.choices("aeinorst", k=draw.randrange(1, SCAN + 1))) for _ in range(300)]
