@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Comments, declarations and tags; anything else is text.
-MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S
-)
+#: The start of a comment, declaration or tag; anything else is text.
+OPENING = re.compile(r"<(?:!--|[!?]|(/?)([A-Za-z][^\s/>]*))")
+ATTRIBUTES = re.compile(r"""((?:[^'">]++|"[^"]*"|'[^']*')*+)>""")
+#: The attributes of a tag in steps that end at each opening sign.
+STEP = re.compile(r"""[^'"<>]+|"[^"]*"|'[^']*'|<""")
 ATTRIBUTE = re.compile(r"""([\w:-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -49,6 +50,8 @@ BREAKOUT = frozenset(
     "listing main menu meta nobr ol p pre ruby s section article aside header footer nav figure form "
     "small span strong strike sub sup table tt u ul var".split()
 )
+#: Steps between two tag paths up to which they smooth each other.
+NEAR = 4
 #: Elements that hold whole texts, other than single paragraphs, lists or inline marks.
 HOLDERS = frozenset("article body center div html main section td".split())
 #: Elements that never hold the main text, and words in class, id or role that say so.
@@ -65,11 +68,24 @@ ASIDE_WORDS = frozenset(
 )
 
 
+@dataclass
+class Path:
+    """A tag path, told from others by its number: the one above, and what stands on it."""
+
+    parent: int
+    depth: int
+    #: Whether an article stands above, an article or main element does, a link does or is its end.
+    in_article: bool = False
+    in_main: bool = False
+    in_link: bool = False
+
+
 @dataclass
 class Element:
     name: str
     parent: int
-    path: str
+    #: The number of its tag path.
+    path: int
     aside: bool = False
     #: The words (or the form) for which an element is set aside unless it holds most of the text.
     named: frozenset[str] = frozenset()
@@ -78,49 +94,145 @@ class Element:
 
 @dataclass
 class Page:
-    """Elements in page order, and texts as (element, block, text)."""
+    """Elements in page order, texts as (element, block, text), and the tag paths."""
 
     elements: list[Element] = field(default_factory=list)
     texts: list[tuple[int, int, str]] = field(default_factory=list)
+    paths: list[Path] = field(default_factory=lambda: [Path(-1, 0)])
+    steps: dict[tuple[int, str], int] = field(default_factory=dict)
+
+    def below(self, parent: int, name: str) -> int:
+        """The number of the path that leads from an element to one of this name in it."""
+        above = self.elements[parent]
+        key = above.path, name
+        if key not in self.steps:
+            path = self.paths[above.path]
+            self.steps[key] = len(self.paths)
+            self.paths.append(
+                Path(
+                    above.path,
+                    path.depth + 1,
+                    path.in_article or above.name == "article",
+                    path.in_main or above.name in ("article", "main"),
+                    path.in_link or name == "a",
+                )
+            )
+        return self.steps[key]
+
+
+class Open:
+    """The open elements, with the places of each name, so that no look at them walks over all."""
+
+    def __init__(self) -> None:
+        self.elements = [0]
+        self.names = [""]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks = [0]
+
+    def push(self, element: int, name: str) -> None:
+        self.places[name].append(len(self.names))
+        if name in BLOCK:
+            self.blocks.append(len(self.names))
+        self.elements.append(element)
+        self.names.append(name)
+
+    def cut(self, depth: int) -> None:
+        """Ends all elements from ``depth`` on."""
+        while len(self.names) > depth:
+            name = self.names.pop()
+            self.elements.pop()
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+
+    def last(self, *names: str) -> int:
+        """The innermost place of these names, 0 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+
+class Markup:
+    """Finds comments, declarations and tags in a text, in time that grows with its length.
+
+    A tag whose end is missing, or stands in quotes, is text. Every opening sign outside of its quotes
+    would run into the same missing end, so it is remembered and not tried again.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.endless: set[int] = set()
+
+    def search(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name in lower case (empty for comments), whether it ends, and attributes."""
+        source = self.source
+        while found := OPENING.search(source, at):
+            start, at = found.start(), found.end()
+            if found[0] == "<!--":
+                end = source.find("-->", at)
+                return start, end + 3 if end >= 0 else len(source), "", False, ""
+            if at <= self.last:
+                if not found[2]:
+                    return start, source.index(">", at) + 1, "", False, ""
+                end = self._end(start, at)
+                if end >= 0:
+                    return start, end, found[2].lower(), bool(found[1]), source[at : end - 1]
+            at = start + 1
+        return None
+
+    def _end(self, start: int, at: int) -> int:
+        """Where the tag ends whose attributes begin at ``at``; -1 if nowhere."""
+        if start in self.endless:
+            return -1
+        if not self.endless:
+            found = ATTRIBUTES.match(self.source, at)
+            if found:
+                return found.end()
+        passed = {start}
+        while step := STEP.match(self.source, at):
+            if self.source[at] == "<":
+                if at in self.endless:
+                    break
+                passed.add(at)
+            at = step.end()
+        else:
+            if self.source.startswith(">", at):
+                return at + 1
+        self.endless |= passed
+        return -1
 
 
 def parse(source: str) -> Page:
     """Reads any text as HTML: unknown, unclosed and misplaced tags are taken as they come."""
-    page = Page([Element("", -1, "")])
-    stack, at, block = [0], 0, 0
+    page = Page([Element("", -1, 0)])
+    stack, at, block, markup = Open(), 0, 0, Markup(source)
     end, any_foreign = len(source), False
     unended: set[str] = set()
     while at < end:
-        found = MARKUP.search(source, at)
-        stop = found.start() if found else end
+        found = markup.search(at)
+        stop = found[0] if found else end
         if stop > at:
-            page.texts.append((stack[-1], block, source[at:stop]))
+            page.texts.append((stack.elements[-1], block, source[at:stop]))
         if not found:
             break
-        at = found.end()
-        name = (found[2] or "").lower()
+        _, at, name, ends, attributes = found
         if not name:
             continue
         if name in BLOCK:
             block += 1
-        if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_name = page.elements[stack[depth]].name
-                if open_name == name:
-                    del stack[depth:]
-                    break
-                if name not in BLOCK and open_name in BLOCK:
-                    break
+        if ends:
+            depth = stack.last(name)
+            if depth and (name in BLOCK or depth > stack.blocks[-1]):
+                stack.cut(depth)
             continue
-        closed = found[3].rstrip().endswith("/")
+        closed = attributes.rstrip().endswith("/")
         any_foreign = any_foreign or name in FOREIGN
-        foreign = any_foreign and _foreign(page, stack, name)
+        foreign = any_foreign and _foreign(stack, name)
         if name in RAW:
             if foreign and closed:
                 continue
             closing = None if name in unended else RAW_ENDS[name].search(source, at)
             if closing and name == "xmp":
-                page.elements.append(_element(page, stack[-1], name, found[3]))
+                page.elements.append(_element(page, stack.elements[-1], name, attributes))
                 shown = html.escape(source[at : closing.start()])
                 page.texts.append((len(page.elements) - 1, block, shown))
             if closing:
@@ -130,55 +242,39 @@ def parse(source: str) -> Page:
             if name in ENDLESS and not foreign:
                 at = end
             else:
-                following = MARKUP.search(source, at)
-                at = following.start() if following else end
+                following = markup.search(at)
+                at = following[0] if following else end
             continue
         if name in VOID and not foreign:
             continue
-        _close_implied(page, stack, name)
-        page.elements.append(_element(page, stack[-1], name, found[3]))
+        _close_implied(stack, name)
+        page.elements.append(_element(page, stack.elements[-1], name, attributes))
         if not closed or (name in BLOCK and not foreign):
-            stack.append(len(page.elements) - 1)
+            stack.push(len(page.elements) - 1, name)
     return page
 
 
-def _foreign(page: Page, stack: list[int], name: str) -> bool:
+def _foreign(stack: Open, name: str) -> bool:
     """Whether a starting element belongs to open svg or math; one of HTML ends them instead."""
-    for depth in range(len(stack) - 1, 0, -1):
-        open_name = page.elements[stack[depth]].name
-        if open_name in HTML_PLACES:
-            return False
-        if open_name in FOREIGN:
-            if name in BREAKOUT:
-                del stack[depth:]
-                return False
-            return True
-        if open_name in BLOCK:
-            break
-    return False
+    depth = stack.last(*FOREIGN)
+    if depth <= max(stack.last(*HTML_PLACES), stack.blocks[-1]):
+        return False
+    if name in BREAKOUT:
+        stack.cut(depth)
+        return False
+    return True
 
 
-def _close_implied(page: Page, stack: list[int], name: str) -> None:
-    if name in BLOCK:
-        for depth in range(len(stack) - 1, 0, -1):
-            if page.elements[stack[depth]].name == "p":
-                del stack[depth:]
-                break
-            if page.elements[stack[depth]].name in BLOCK:
-                break
-    ends = CLOSES.get(name, ())
-    for depth in range(len(stack) - 1, 0, -1) if ends else ():
-        open_name = page.elements[stack[depth]].name
-        if open_name in ends:
-            del stack[depth:]
-            break
-        if open_name in SCOPES:
-            break
+def _close_implied(stack: Open, name: str) -> None:
+    if name in BLOCK and stack.names[stack.blocks[-1]] == "p":
+        stack.cut(stack.blocks[-1])
+    depth = stack.last(*CLOSES.get(name, ()))
+    if depth and depth > stack.last(*SCOPES):
+        stack.cut(depth)
 
 
 def _element(page: Page, parent: int, name: str, attributes: str) -> Element:
-    above = page.elements[parent]
-    made = Element(name, parent, f"{above.path}/{name}")
+    made = Element(name, parent, page.below(parent, name))
     values = {
         k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes) if v or k == "hidden"
     }
@@ -191,7 +287,7 @@ def _element(page: Page, parent: int, name: str, attributes: str) -> Element:
         for w in split
     }
     made.main = name in ("article", "main") or values.get("role") == "main"
-    inside = "/article/" in made.path or "/main/" in made.path
+    inside = page.paths[made.path].in_main
     hidden = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "")
     unshown = name in UNSHOWN and "shadowrootmode" not in values
     if name in ASIDE or unshown or hidden or values.get("aria-hidden") == "true":
@@ -219,7 +315,7 @@ def _settle(page: Page) -> list[bool]:
     sized, every = Counter(), Counter()
     for element, _, text in page.texts:
         every[element] += len(text.strip())
-        if PUNCTUATION.search(text) and "/a/" not in elements[element].path + "/":
+        if PUNCTUATION.search(text) and not page.paths[elements[element].path].in_link:
             sized[element] += len(text.strip())
     hard, named, in_main = [], [], []
     for element in elements:
@@ -253,17 +349,21 @@ def _settle(page: Page) -> list[bool]:
             single = 2 * largest[key] > held[0]
             most = 2 * (held[i] if single else alike[key]) > held[0]
             kept = "form" not in element.named and (i in titled or i in around and not article)
-            beside = article and (element.named & REPLY_WORDS or "/article/" not in element.path)
+            beside = article and (
+                element.named & REPLY_WORDS or not page.paths[element.path].in_article
+            )
             own = not kept and (bool(beside) or not most)
         aside.append(own or (element.parent >= 0 and aside[element.parent]))
     return aside
 
 
-def path_scores(page: Page, texts: list[tuple[int, int, str]]) -> dict[str, float]:
+def path_scores(page: Page, texts: list[tuple[int, int, str]]) -> dict[int, float]:
     """Text length and punctuation per text node of each tag path, smoothed and multiplied.
 
     Both ratios of a path are averaged with those of near paths (weights fall with the number of
-    steps from one path to the other), so that a bold word in a paragraph counts with it.
+    steps from one path to the other, up to NEAR), so that a bold word in a paragraph counts with it.
+    Every path adds its ratios to the NEAR paths above it, by the steps down to it, and reads from these
+    the sums of the paths beside it, so the work grows with the number of paths.
     """
     nodes, length, marks = Counter(), Counter(), Counter()
     for element, _, text in texts:
@@ -271,23 +371,36 @@ def path_scores(page: Page, texts: list[tuple[int, int, str]]) -> dict[str, floa
         nodes[path] += 1
         length[path] += len(text)
         marks[path] += len(PUNCTUATION.findall(text))
-    split = {p: p.split("/") for p in nodes}
+    #: For each path and number of steps down: paths, their lengths and marks a node.
+    beneath: dict[int, list[list[float]]] = {}
+    for path in nodes:
+        own = 1.0, length[path] / nodes[path], (1 + marks[path]) / nodes[path]
+        above = path
+        for steps in range(NEAR + 1):
+            sums = beneath.setdefault(above, [[0.0, 0.0, 0.0] for _ in range(NEAR + 1)])
+            sums[steps] = [s + o for s, o in zip(sums[steps], own, strict=True)]
+            above = page.paths[above].parent
+            if above < 0:
+                break
     scores = {}
-    for path, own in split.items():
+    for path in nodes:
         weights = texted = marked = 0.0
-        for other, steps in split.items():
-            shared = 0
-            for a, b in zip(own, steps, strict=False):
-                if a != b:
-                    break
-                shared += 1
-            distance = len(own) + len(steps) - 2 * shared
-            if distance > 4:
-                continue
-            weight = math.exp(-(distance**2) / 2)
-            weights += weight
-            texted += weight * length[other] / nodes[other]
-            marked += weight * (1 + marks[other]) / nodes[other]
+        came, above = -1, path
+        for up in range(NEAR + 1):
+            for down in range(NEAR + 1 - up):
+                sums = beneath[above][down]
+                # Those of the branch that leads to the path are nearer and were counted before.
+                less = beneath[came][down - 1] if came >= 0 and down else (0.0, 0.0, 0.0)
+                paths = sums[0] - less[0]
+                if not paths:
+                    continue
+                weight = math.exp(-((up + down) ** 2) / 2)
+                weights += weight * paths
+                texted += weight * (sums[1] - less[1])
+                marked += weight * (sums[2] - less[2])
+            came, above = above, page.paths[above].parent
+            if above < 0:
+                break
         scores[path] = (texted / weights) * (marked / weights)
     return scores
 

@@ -1,9 +1,16 @@
 from __future__ import annotations
 
 import html
+import math
+import os
+import random
 import re
+import time
+from collections import defaultdict
 
-from mergelens.llm.page_text import extract_pages, main_text
+import pytest
+
+from mergelens.llm.page_text import Element, Page, extract_pages, main_text, path_scores
 from tests.conftest import SF_SMALL
 
 
@@ -126,3 +133,54 @@ def test_names_do_not_remove_most_of_the_text():
         assert main_text(one.replace("{}", text) + 40 * replies) == shown
     inner = f"<article><h1>Title</h1><p>It starts, slowly; it has marks.</p><div class=related>{text}</div></article>"
     assert main_text(inner) == f"Title It starts, slowly; it has marks. {shown}"
+
+
+HOSTILE = {
+    "tags without end": "<a " * 60_000,
+    "quoted ends": '<a ">" ' * 30_000,
+    "mixed quotes": "<a \"'>' " * 30_000,
+    "declarations": "<!" * 100_000,
+    "distinct paths": "".join(f"<x{i}>text, a.</x{i}>" for i in range(10_000)),
+    "open elements": "<div>" * 80_000 + "text.",
+    "closing tags of an element far above": "<x><div>" + "<b>" * 20_000 + "</x>" * 20_000,
+    "a path of distinct names": "".join(f"<y{i}>t." for i in range(10_000)),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_cost_no_more_than_their_length(name):
+    page = "<article><p>The story, in full.</p></article>"
+    began = time.process_time()
+    text = main_text(page + HOSTILE[name])
+    # A few tenths of a second; with work that grows with the square, minutes.
+    assert time.process_time() - began < 10
+    assert "The story, in full." in text
+
+
+def test_scores_equal_those_of_all_pairs():
+    draw = random.Random(5)
+    for _ in range(50):
+        page = Page([Element("", -1, 0)])
+        for i in range(60):
+            parent, name = draw.randrange(len(page.elements)), draw.choice("abcd")
+            page.elements.append(Element(name, parent, page.below(parent, name)))
+            page.texts.append((i + 1, 0, "x" * draw.randrange(1, 9) + "," * draw.randrange(3)))
+        own = defaultdict(list)
+        for element, _, text in page.texts:
+            steps, at = (), element
+            while at:
+                steps, at = (page.elements[at].name, *steps), page.elements[at].parent
+            own[steps, page.elements[element].path].append(text)
+        assert len(own) == len({steps for steps, _ in own})
+        found = path_scores(page, page.texts)
+        for (steps, number), _ in own.items():
+            weights = texted = marked = 0.0
+            for (other, _), texts in own.items():
+                shared = len(os.path.commonprefix([steps, other]))
+                distance = len(steps) + len(other) - 2 * shared
+                if distance <= 4:
+                    weight = math.exp(-(distance**2) / 2)
+                    weights += weight
+                    texted += weight * sum(map(len, texts)) / len(texts)
+                    marked += weight * (1 + sum(t.count(",") for t in texts)) / len(texts)
+            assert found[number] == pytest.approx(texted / weights * (marked / weights))
