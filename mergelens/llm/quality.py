@@ -11,12 +11,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from mergelens.llm.samples import hash_share
 from mergelens.llm.words import mixed
+from mergelens.session import cut_lineage
 
 #: A word, or a run of signs that are neither letters, digits nor white space.
 PIECE = re.compile(r"\w+|[^\w\s]+")
@@ -25,11 +26,13 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class FtrlSettings:
-    """``bits``: 2**bits weights; ``sample``: labelled rows that training reads at most; every
-    ``calibration``-th of them is kept from training, for the scale and bias of the scores."""
+    """``bits``: 2**bits weights; ``sample``: labelled rows that training reads at most;
+    ``characters``: those of their texts, the last one may go over; every ``calibration``-th row is
+    kept from training, for the scale and bias of the scores."""
 
     bits: int = 18
     sample: int = 6_000
+    characters: int = 60_000_000
     passes: int = 4
     calibration: int = 5
     alpha: float = 1.0
@@ -141,9 +144,10 @@ def fit_quality(
     """A model from at most ``settings.sample`` labelled rows that are not held out.
 
     The sample is the rows with the smallest hashes of their id, whatever the size of the tables,
-    and is trained in that order. Rows without id or label are not used; of an id labelled twice
-    the smaller label counts, and of an id with several texts the smallest text. Executors turn the
-    texts into sparse vectors, so that the driver gets a bounded number of those only.
+    and is trained in that order; it ends where its texts exceed ``settings.characters``. Rows without
+    id or label are not used; of an id labelled twice the smaller label counts, and of an id with
+    several texts the smallest text. Executors choose one text of an id and turn it into a sparse
+    vector, so that the driver gets a bounded number of vectors of a bounded size.
     """
     place = F.xxhash64("doc_id")
     chosen = (
@@ -157,8 +161,24 @@ def fit_quality(
         .orderBy("place", "doc_id")
         .limit(settings.sample)
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc_id")
+    # One row for each id of the sample, without texts: their lengths, summed in order.
+    before = Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sized = (
+        docs.select("doc_id", F.length("text").alias("length"))
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "place", "quality")
+        .agg(F.coalesce(F.max("length"), F.lit(0)).alias("length"))
+        .withColumn("read", F.coalesce(F.sum("length").over(before), F.lit(0)))
+        .where(F.col("read") < settings.characters)
+        .select("doc_id", "place", "quality")
+    )
+    sized = cut_lineage(sized)
+    joined = (
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        .join(F.broadcast(sized), "doc_id")
+        .groupBy("doc_id", "place", "quality")
+        .agg(F.min("text").alias("text"))
+    )
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,8 +196,7 @@ def fit_quality(
 
     schema = "doc_id long, place long, quality int, buckets binary, values binary"
     found = joined.mapInArrow(vectors, schema).toArrow().to_pylist()
-    found.sort(key=lambda r: (r["place"], r["doc_id"], r["buckets"]))
-    first = [r for r, before in zip(found, [None, *found], strict=False) if not before or before["doc_id"] != r["doc_id"]]
+    found.sort(key=lambda r: (r["place"], r["doc_id"]))
     return train(
         [
             (
@@ -185,7 +204,7 @@ def fit_quality(
                 np.frombuffer(r["values"], np.float32).astype(np.float64),
                 r["quality"],
             )
-            for r in first
+            for r in found
         ],
         settings,
     )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import zlib
 
 import numpy as np
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from mergelens.llm.quality import (
     FtrlSettings,
     QualityModel,
+    _ftrl,
     features,
     fit_quality,
     is_held_out,
@@ -57,6 +60,61 @@ def test_training_reads_a_bounded_sample_that_is_not_held_out(spark):
     assert min(scores[i] for i in range(1, 200, 2)) > max(scores[i] for i in range(0, 200, 2))
 
 
+def test_repeated_ids_and_characters_bound_the_sample(spark):
+    texts = [f"good text {i % 40}" if i % 2 else f"bad | {i % 40}" for i in range(400)]
+    once = documents(spark, texts[:40], range(40))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    model = fit_quality(once, labels, FtrlSettings(bits=10))
+    # The same texts many times, and larger ones of the same ids, change nothing.
+    more = [*texts, *[f"~ another {i}" for i in range(40)]]
+    repeated = documents(spark, more, [*[i % 40 for i in range(400)], *range(40)])
+    again = fit_quality(repeated, labels, FtrlSettings(bits=10))
+    assert np.array_equal(model.weights, again.weights) and model.bias == again.bias
+    order = [
+        r.doc_id
+        for r in once.where(~is_held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()
+    ]
+    first = order[:3]
+    read = sum(len(texts[i]) for i in first)
+    bounded = fit_quality(once, labels, FtrlSettings(bits=10, characters=read))
+    alone = fit_quality(once.where(F.col("doc_id").isin(first)), labels, FtrlSettings(bits=10))
+    assert np.array_equal(bounded.weights, alone.weights) and bounded.bias == alone.bias
+
+
+def test_updates_equal_those_written_out(spark):
+    """The update rule with plain numbers, one weight after the other."""
+    draw = random.Random(4)
+    settings = FtrlSettings(bits=4, passes=2, l1=0.01)
+    rows = []
+    for i in range(30):
+        buckets = sorted(draw.sample(range(16), draw.randrange(1, 6)))
+        rows.append((np.array(buckets), np.array([draw.random() for _ in buckets]), i % 3 % 2))
+    z, n = [0.0] * 17, [0.0] * 17
+    good = sum(label for _, _, label in rows)
+    weight = {1: 15 / good, 0: 15 / (30 - good)}
+
+    def current(k):
+        if k == 16:
+            return -z[k] / ((settings.beta + n[k] ** 0.5) / settings.alpha)
+        if abs(z[k]) <= settings.l1:
+            return 0.0
+        pull = settings.l1 if z[k] > 0 else -settings.l1
+        return (pull - z[k]) / ((settings.beta + n[k] ** 0.5) / settings.alpha + settings.l2)
+
+    for _ in range(settings.passes):
+        for buckets, values, label in rows:
+            parts = [*zip(buckets.tolist(), values.tolist(), strict=True), (16, 1.0)]
+            weights = {k: current(k) for k, _ in parts}
+            guess = 1 / (1 + math.exp(-sum(weights[k] * v for k, v in parts)))
+            for k, v in parts:
+                gradient = (guess - label) * weight[label] * v
+                step = ((n[k] + gradient**2) ** 0.5 - n[k] ** 0.5) / settings.alpha
+                z[k] += gradient - step * weights[k]
+                n[k] += gradient**2
+    found, bias = _ftrl(rows, settings)
+    assert np.allclose(found, [current(k) for k in range(16)]) and math.isclose(bias, current(16))
+
+
 def test_no_rows_no_labels_one_label(spark):
     docs = documents(spark, ["a", None], [1, 2])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
