@@ -31,11 +31,14 @@ def profile_commits(
     All commits up to the cap count, as in the classifier; a repeated sha counts each time.
     """
     lowered = F.lower(F.col("message"))
-    flags = cap_commits(commits.select(*key, POSITION, "message"), key, cap).select(
+    # Messages are read before the cap, so that only lengths and flags are ranked and moved.
+    narrow = commits.select(
         *key,
+        POSITION,
         F.length("message").alias("_length"),
         *[flag.alias(name) for name, flag in S.commit_profile_flags(lowered).items()],
     )
+    flags = cap_commits(narrow, key, cap)
     return flags.groupBy(*key).agg(
         *[F.count_if(F.col(name)).alias(f"{name}_commits") for name in _PROFILE],
         F.count(F.lit(1)).alias("total_commits"),

@@ -167,6 +167,22 @@ def test_pull_requests_and_rejects(spark):
         (2, "missing author"), (3, "missing title")]
 
 
+def test_items_that_repeat_over_pages_stay_where_they_are(spark):
+    item = {"number": 1, "title": "first", "state": "open", "user": {"login": "u"}, "labels": []}
+    late = [{**item, "title": "again"}, {**item, "number": None, "title": "no number"}]
+    pages = spark.createDataFrame(
+        [("o/r", 2, json.dumps(late)), ("o/r", 1, json.dumps([item, {**item, "number": 2}])),
+         ("o/s", 9, json.dumps([item]))],
+        "repository_full_name string, page bigint, body string",
+    )
+    found = P.pull_requests_from_pages(pages)
+    assert sorted(rows(found, "id", "title"), key=str) == [
+        ("o/r_1", "first"), ("o/r_2", "first"), ("o/s_1", "first"), (None, "no number")]
+    # Bodies are not moved: nothing but the written names is exchanged.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_typed_times(spark):
     df = spark.createDataFrame([("2023-10-01T12:00:00Z",), ("soon",), (None,)], "created_at string")
     typed = [r[0] for r in with_timestamps(df, "created_at").select(
