@@ -17,9 +17,15 @@ from mergelens.operators.merge_state import Merge, fold_merge, merge_pair
 from mergelens.sources.hadoop import Folder
 from mergelens.sources.state_table import VersionConflict
 
+#: Rows of a bucket, which one task folds, sorts and joins.
+BUCKET_ROWS = 250_000
+
 
 class BucketedState:
-    """State rows of a merge, one per key, below ``root``; ``buckets`` is fixed with the first version.
+    """State rows of a merge, one per key, below ``root``, in ``buckets`` of the key at first.
+
+    When rows could exceed BUCKET_ROWS a bucket, the next version has twice as many buckets, or more:
+    that merge moves the state once. All others find it in place.
 
     A merge reads and writes every bucket, in place: for many changes. ``StateTable`` moves the
     buckets it touches, and only those: for few.
@@ -54,14 +60,14 @@ class BucketedState:
             )
         return self.spark.table(name)
 
-    def merged(self, rows: DataFrame) -> DataFrame:
+    def merged(self, rows: DataFrame, buckets: int | None = None) -> DataFrame:
         """The newest version with ``rows`` (states of ``merge_state``) merged in, not yet written.
 
-        The rows are dealt to the state's buckets before they are folded, so that both the fold and
-        the join find them in place.
+        The rows are dealt to the state's buckets, or to ``buckets``, before they are folded, so that
+        both the fold and the join find them in place.
         """
         version = self.version()
-        size = self._manifest(version)["buckets"] if version else self.buckets
+        size = buckets or (self._manifest(version)["buckets"] if version else self.buckets)
         new = fold_merge(rows.repartition(size, *self.held.key), self.held)
         return merge_pair(self.read(version), new, self.held) if version else new
 
@@ -72,11 +78,17 @@ class BucketedState:
         if source is not None and before["sources"].get(source, -1) >= batch:
             return version
         data = f"data/{version + 1:012d}-{uuid.uuid4().hex}"
-        merged, keys = self.merged(rows), list(self.held.key)
+        buckets, keys = before["buckets"], list(self.held.key)
+        most = (self.read(version).count() if version else 0) + rows.count()
+        while most > buckets * BUCKET_ROWS:
+            buckets *= 2
+        merged = self.merged(rows, buckets)
+        if version and buckets != before["buckets"]:
+            merged = merged.repartition(buckets, *keys)
         name = f"{self._name}_w{uuid.uuid4().hex}"
         (
             merged.write.format("parquet")
-            .bucketBy(before["buckets"], keys[0], *keys[1:])
+            .bucketBy(buckets, keys[0], *keys[1:])
             .sortBy(keys[0], *keys[1:])
             .option("path", f"{self.root}/{data}")
             .saveAsTable(name)
@@ -84,7 +96,7 @@ class BucketedState:
         self.spark.sql(f"DROP TABLE {name}")
         after = {
             "data": data,
-            "buckets": before["buckets"],
+            "buckets": buckets,
             "schema": merged.schema.json(),
             "sources": before["sources"] | ({source: batch} if source is not None else {}),
         }

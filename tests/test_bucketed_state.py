@@ -81,3 +81,17 @@ def test_empty_batches(spark, tmp_path):
     assert held.merge(state_of(spark, [])) == 3
     assert current(held) == full(spark, history(1))
     assert held.read().agg(F.count("*")).first()[0] == len(full(spark, history(1)))
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("mergelens.sources.bucketed_state.BUCKET_ROWS", 20)
+    held, some = BucketedState(spark, str(tmp_path / "s"), MERGE, buckets=2), history(6)
+    sizes = []
+    for start in range(0, 300, 100):
+        held.merge(state_of(spark, some[start : start + 100]))
+        sizes.append(held._manifest(held.version())["buckets"])
+        counts = held.read().groupBy(F.input_file_name().alias("file")).count().collect()
+        assert max(r["count"] for r in counts) <= 40
+    assert sizes[0] >= 4 and sizes == sorted(sizes) and sizes[-1] > sizes[0]
+    assert current(held) == full(spark, some)
+    assert current(held, 1) == full(spark, some[:100])
