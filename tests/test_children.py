@@ -8,7 +8,7 @@ from mergelens.functions import text as X
 from mergelens.operators import children as C
 from mergelens.operators import stats
 from mergelens.plans.fixtures import PR, Fixtures
-from tests.conftest import SF_SMALL, rows
+from tests.conftest import SF_SMALL, plan_text, rows
 
 COMMIT = "pr_number bigint, seq int, sha string, message string, author string, date string"
 
@@ -98,3 +98,18 @@ def test_hot_pull_request(spark):
     )
     hot = C.nest_commits(commits.repartition(8), PR).filter("pr_number = 0").first()
     assert len(hot.commits) == 100
+
+
+def test_patches_are_grouped_as_they_come_sorted(spark):
+    files = spark.createDataFrame([(i % 7, i, f"n{i}", "m", 1, 1, 2, "p" * i) for i in range(50)],
+        "pr_number long, seq long, filename string, status string, additions long, deletions long, changes long, patch string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        nested = C.nest_files(files, ["pr_number"])
+        plan = plan_text(nested)
+        assert nested.count() == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan[: plan.index("SortMergeJoin")]
+    assert "SortAggregate" in top and "HashAggregate" not in top and "Sort [" not in top
