@@ -7,7 +7,7 @@ broadcast side of every join here.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mergelens.functions.arrays import each
 from mergelens.functions.stemming import stem_words
+from mergelens.functions.words import known_ngrams
 
 # Training sentences, prototypes and size of the change-type vocabulary.
 TRAINING_SENTENCES = (
@@ -115,6 +116,9 @@ def with_terms(
 
     With ``known`` terms all others are left out; their words are blanked before n-grams are made.
     """
+    if not stem and known is not None:
+        found = known_ngrams(F.col(text), known, stop_words, 2, lengths)
+        return docs.withColumn("_found", found).drop(text).withColumn("terms", F.col("_found.terms")).drop("_found")
     words = docs.withColumn(
         "_words", tokens(F.col(text), stop_words, stem=stem, min_length=2)
     ).drop(text)
@@ -279,6 +283,18 @@ def text_similarity(
     return model.cosine(scored, key)
 
 
+def _own_terms(text: Column, words: Callable[[Column], Column], model: Prototypes, stem: bool) -> list[Column]:
+    """``terms``: the known terms of a text; ``_lead``: its last words, null if part of none."""
+    if not stem:
+        found = known_ngrams(text, model.known, model.stop_words, 2, NGRAMS)
+        return [found["terms"].alias("terms"), found["last"].alias("_lead")]
+    blanked = _known_words(words(text), model.known)
+    return [
+        _known_terms(ngrams(blanked), model.known).alias("terms"),
+        _last(blanked, NGRAMS[1] - 1).alias("_lead"),
+    ]
+
+
 def pull_request_similarity(
     prs: DataFrame,
     messages: DataFrame | None,
@@ -298,12 +314,7 @@ def pull_request_similarity(
 
     own = (
         prs.select(*key, F.concat_ws(" ", "title", F.coalesce("body", F.lit(""))).alias("_text"))
-        .select(*key, _known_words(words(F.col("_text")), model.known).alias("_words"))
-        .select(
-            *key,
-            _known_terms(ngrams(F.col("_words")), model.known).alias("terms"),
-            _last(F.col("_words"), NGRAMS[1] - 1).alias("_lead"),
-        )
+        .select(*key, *_own_terms(F.col("_text"), words, model, stem))
     )
     if messages is None:
         return model.cosine(own.drop("_lead"), key)
