@@ -1,17 +1,19 @@
-"""Known n-grams over whole Arrow columns, many texts at a time."""
+"""N-grams over whole Arrow columns, many texts at a time."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text, or words, that are cut at a time.
 SLICE = 1 << 21
+#: Bytes of text whose n-grams are counted together.
+COUNTED = 1 << 23
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[128:] = True
 for _sign in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_":
@@ -31,14 +33,17 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
 
 def _in_slices(column: pa.Array, sizes: Callable[[pa.Array], np.ndarray], one: Callable, kind: pa.DataType) -> pa.Array:
     """``one`` over neighbouring rows of about SLICE together; a longer row is a slice of its own."""
-    places = (np.cumsum(sizes(column)) // SLICE) if len(column) else np.zeros(0, int)
-    ends = [*(np.flatnonzero(np.diff(places)) + 1).tolist(), len(column)]
-    parts, start = [], 0
-    for end in ends:
+    parts = [one(part).cast(kind) for part in _slices(column, sizes, SLICE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
+def _slices(column: pa.Array, sizes: Callable[[pa.Array], np.ndarray], limit: int) -> Iterator[pa.Array]:
+    places = (np.cumsum(sizes(column)) // limit) if len(column) else np.zeros(0, int)
+    start = 0
+    for end in [*(np.flatnonzero(np.diff(places)) + 1).tolist(), len(column)]:
         if end > start:
-            parts.append(one(column.slice(start, end - start)).cast(kind))
+            yield column.slice(start, end - start)
         start = end
-    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -154,3 +159,60 @@ def known_ngrams(
         return _in_slices(texts, _bytes, one, kind)
 
     return known_terms(_blanked(text))
+
+
+def _totals(texts: pa.Array, stops: pa.Array, min_length: int, lengths: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Each n-gram of the texts with its occurrences and the number of texts that have it."""
+    words, first = _cut(texts, min_length, stops)
+    own = _rows(first)
+    encoded = words.dictionary_encode()
+    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    listed = names = encoded.dictionary
+    at, keys = np.arange(len(codes)), codes
+    low, high = lengths
+    for n in range(1, high + 1):
+        if n > 1:
+            # An n-gram is a shorter one and the next word of the same text.
+            follows = at + n - 1 < len(codes)
+            at, ids = at[follows], ids[follows]
+            goes = own[at] == own[at + n - 1]
+            at, ids = at[goes], ids[goes]
+            keys = ids * len(listed) + codes[at + n - 1]
+        if not len(keys):
+            return
+        # Equal keys keep their order, so that those of one text are neighbours.
+        order = np.argsort(keys, kind="stable")
+        ordered, rows = keys[order], own[at][order]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        starts = np.flatnonzero(new)
+        fresh = new | np.concatenate([[True], rows[1:] != rows[:-1]])
+        found = ordered[starts]
+        if n > 1:
+            before, last = pa.array(found // len(listed)), pa.array(found % len(listed))
+            names = pc.binary_join_element_wise(names.take(before), listed.take(last), " ")
+        else:
+            names = listed.take(pa.array(found))
+        ids = np.empty(len(keys), np.int64)
+        ids[order] = np.cumsum(new) - 1
+        if n >= low:
+            tf = np.diff(np.append(starts, len(keys)))
+            df = np.add.reduceat(fresh.astype(np.int64), starts)
+            yield pa.RecordBatch.from_arrays([names, pa.array(tf), pa.array(df)], names=["term", "tf", "df"])
+
+
+def ngram_totals(
+    docs: DataFrame, text: str, stop_words: Sequence[str], min_length: int, lengths: tuple[int, int]
+) -> DataFrame:
+    """``term``, ``tf``, ``df`` of all n-grams: occurrences, and rows that have it.
+
+    Tasks count each term once for many texts; Spark adds the counts up.
+    """
+    stops = pa.array(sorted(set(stop_words)), pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in _slices(batch.column(0), _bytes, COUNTED):
+                yield from _totals(texts, stops, min_length, lengths)
+
+    counted = docs.select(_blanked(F.col(text)).alias("text")).mapInArrow(count, "term string, tf bigint, df bigint")
+    return counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))

@@ -12,10 +12,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from mergelens.functions.arrays import each
 from mergelens.functions.stemming import stem_words
-from mergelens.functions.words import known_ngrams
+from mergelens.functions.words import known_ngrams, ngram_totals
 
 # Training sentences, prototypes and size of the change-type vocabulary.
 TRAINING_SENTENCES = (
@@ -146,40 +147,56 @@ def fit_vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFr
     counted = marked.groupBy(F.col("_t.term").alias("term")).agg(
         F.sum(1 - F.col("_t.first")).alias("tf"), F.sum("_t.first").alias("df")
     )
-    rows = terms.agg(F.count(F.lit(1))).scalar()
+    return _most_frequent(counted, terms, max_features)
+
+
+def fit_text_vocabulary(
+    docs: DataFrame,
+    text: str = "text",
+    stop_words: Sequence[str] = (),
+    lengths: tuple[int, int] = NGRAMS,
+    max_features: int = MAX_FEATURES,
+) -> DataFrame:
+    """``fit_vocabulary`` of the terms of a text column, which are counted where the texts are cut.
+
+    The result is held as rows (at most ``max_features``), so texts are cut once however often it is used.
+    """
+    fitted = _most_frequent(ngram_totals(docs, text, stop_words, 2, lengths), docs, max_features)
+    return docs.sparkSession.createDataFrame(fitted.collect(), "term string, df bigint, idf double")
+
+
+def _most_frequent(counted: DataFrame, rows: DataFrame, max_features: int) -> DataFrame:
+    """``term``, ``df``, ``idf`` of the terms with the greatest ``tf``."""
+    count = rows.agg(F.count(F.lit(1))).scalar()
     return (
         counted.orderBy(F.col("tf").desc(), "term")
         .limit(max_features)
         .select(
             "term",
             "df",
-            (F.log((1 + rows).cast("double") / (1 + F.col("df"))) + 1).alias("idf"),
+            (F.log((1 + count).cast("double") / (1 + F.col("df"))) + 1).alias("idf"),
         )
     )
 
 
-def _term_counts(terms: DataFrame, vocabulary: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Count of every vocabulary term per key; a key without any keeps one row of nulls."""
-    exploded = terms.select(*key, F.posexplode_outer("terms").alias("_pos", "term"))
-    # The vocabulary has at most max_features rows. Of the unknown terms only the first one of a
-    # row is kept, so that its key stays.
-    known = exploded.join(
-        F.broadcast(vocabulary.withColumn("_known", F.col("term"))), "term", "left"
-    ).filter(F.col("_known").isNotNull() | (F.coalesce(F.col("_pos"), F.lit(0)) == 0))
-    others = [c for c in vocabulary.columns if c != "term"]
-    return known.groupBy(*key, F.col("_known").alias("term"), *others).agg(
-        F.count("_known").alias("tf")
-    )
-
-
 def tfidf_weights(terms: DataFrame, vocabulary: DataFrame, key: Sequence[str]) -> DataFrame:
-    """L2-normalized weight of every vocabulary term that occurs under a key."""
-    counts = _term_counts(terms, vocabulary.select("term", "idf"), key)
-    raw = counts.filter(F.col("term").isNotNull()).withColumn("_raw", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy(*key).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return raw.join(norms, list(key)).select(
-        *key, "term", (F.col("_raw") / F.col("_norm")).alias("weight")
+    """L2-normalized weight of every vocabulary term that occurs under a key; null keys have none.
+
+    The norm is a sum beside the rows that it is made of, so texts are not cut again for it.
+    """
+    named = terms
+    for column in key:
+        named = named.where(F.col(column).isNotNull())
+    # The vocabulary has at most max_features rows.
+    counts = (
+        each(named, key, F.col("terms"), "term")
+        .join(F.broadcast(vocabulary.select("term", "idf")), "term")
+        .groupBy(*key, "term", "idf")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
+    raw = counts.withColumn("_raw", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(*key)))
+    return raw.select(*key, "term", (F.col("_raw") / norm).alias("weight"))
 
 
 def cosine_to_prototypes(

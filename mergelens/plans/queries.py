@@ -421,10 +421,10 @@ def tokens_stemmed(fx: Fixtures) -> DataFrame:
 
 @query
 def tfidf(fx: Fixtures) -> DataFrame:
-    terms = N.with_terms(
-        fx.spread("documents", "doc_id").select("doc_id", "text"), "text", STOP_WORDS
-    )
-    vocabulary = N.fit_vocabulary(terms, MAX_TERMS)
+    docs = fx.spread("documents", "doc_id").select("doc_id", "text")
+    vocabulary = N.fit_text_vocabulary(docs, "text", STOP_WORDS, max_features=MAX_TERMS)
+    known = [row["term"] for row in vocabulary.select("term").collect()]
+    terms = N.with_terms(docs, "text", STOP_WORDS, known=known)
     return N.tfidf_weights(terms, vocabulary, ["doc_id"]).select(
         "doc_id", "term", F.round("weight", 6).alias("weight")
     )

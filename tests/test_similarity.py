@@ -9,7 +9,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from mergelens.functions.words import ngram_totals
 from mergelens.operators import similarity as S
+from mergelens.plans.queries import QUERIES
 from tests.conftest import SF_SMALL, rows
 
 STOPS = ["the", "of", "in", "a"]
@@ -80,6 +82,47 @@ def test_tfidf_equals_brute_force(spark):
         assert r.weight == pytest.approx(expected[r.doc_id, r.term], abs=1e-9)
 
 
+def test_text_vocabulary_and_weights_equal_brute_force(spark):
+    """Terms are counted over slices of many texts; rows of one key go together, null keys have no weights."""
+    texts = ["Fix the bug, fix the bug", "İstanbul naïve_x 2nd bug", "", None, "a", "the fix", "bug fix bug fix bug"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = _fit([t or "" for t in texts], 6)
+    fitted = S.fit_text_vocabulary(docs, "text", STOPS, max_features=6)
+    assert {r.term: r.idf for r in fitted.collect()} == pytest.approx(idf)
+    older = S.fit_vocabulary(S.with_terms(docs, "text", STOPS), 6)
+    assert rows(fitted) == rows(older)
+    known = sorted(idf)
+    keyed = docs.withColumn("doc_id", F.when(F.col("doc_id") == 6, None).otherwise(F.least("doc_id", F.lit(4))))
+    terms = S.with_terms(keyed, "text", STOPS, known=known)
+    found = {(r.doc_id, r.term): r.weight for r in S.tfidf_weights(terms, fitted, ["doc_id"]).collect()}
+    expected = {(d, t): w for d in (0, 1) for t, w in _weights(texts[d], idf).items()}
+    expected |= {(4, t): w for t, w in _weights("a the fix", idf).items()}
+    assert found == pytest.approx(expected)
+    empty = S.fit_text_vocabulary(docs.where("doc_id in (2, 3)"), "text", STOPS)
+    assert empty.count() == 0
+    assert S.tfidf_weights(S.with_terms(docs, "text", STOPS, known=[]), empty, ["doc_id"]).count() == 0
+
+
+def test_long_ngrams_are_counted_within_texts(spark):
+    texts = ["a b c d a b c", "b c", "c d a b c x", ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.term: (r.tf, r.df) for r in ngram_totals(docs, "text", [], 1, (2, 3)).collect()}
+    tf, df = Counter(), Counter()
+    for text in texts:
+        words = text.split()
+        own = [" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1)]
+        tf.update(own)
+        df.update(set(own))
+    assert found == {t: (tf[t], df[t]) for t in tf}
+
+
+def test_tfidf_cuts_each_text_twice_at_most(spark):
+    """Once to count all terms, which happens at once, and once to weigh the known ones."""
+    plan = QUERIES["tfidf"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "regexp_extract_all" not in plan
+
+
 def test_cosine_equals_brute_force(spark):
     texts = [
         "Fix the bug in the authentication module", "add new user, create user manual",
